@@ -11,6 +11,8 @@ from pyspark.sql import Window
 
 from lumetry.functions import (
     COST,
+    METER_MEASURES,
+    device_costs,
     device_readings,
     event_time,
     lamp_readings,
@@ -38,11 +40,11 @@ from lumetry.operators import (
     with_out_of_band,
 )
 from lumetry.operators.summaries import BY_CITY, BY_DEVICE, BY_METER, meter_report, window_text, windowed_sums
-from lumetry.functions import METER_MEASURES
 from lumetry.plans import PIPELINES, cost_cascade
 from lumetry.schemas import (
     CITIES,
     COST_SUMMARY,
+    DEVICE_COST,
     DEVICE_FLOAT,
     DEVICE_INT,
     LAMP_BAND,
@@ -159,7 +161,7 @@ def prj_parse_device_float(spark, sf_dir):
 
 @registered
 def prj_device_cost_columns(spark, sf_dir):
-    return shown(device_readings(P.device(P.events(spark, sf_dir))).select("STIME", "DID", "DSN", "COST"))
+    return shown(device_costs(P.device(P.events(spark, sf_dir))))
 
 
 @registered
@@ -194,7 +196,7 @@ def prj_window_text(spark, sf_dir):
 
 @registered
 def prj_round2(spark, sf_dir):
-    sums = device_readings(P.device(P.events(spark, sf_dir))).groupBy("DID").agg(*COST.partials())
+    sums = device_costs(P.device(P.events(spark, sf_dir))).groupBy("DID").agg(*COST.partials())
     return sums.select("DID", COST.total(2).alias("total_cost"), COST.mean(2).alias("avg_cost"))
 
 
@@ -250,7 +252,7 @@ def agg_city_5m(spark, sf_dir):
 
 
 def _cost(spark: SparkSession, sf_dir: str, grain: str, **options) -> DataFrame:
-    return shown(cost_summary(device_readings(P.device(P.events(spark, sf_dir))), grain, **options))
+    return shown(cost_summary(device_costs(P.device(P.events(spark, sf_dir))), grain, **options))
 
 
 @registered
@@ -275,9 +277,7 @@ def agg_cost_1m_rounded(spark, sf_dir):
 
 @registered
 def agg_cost_grains(spark, sf_dir):
-    grains = cost_grains(device_readings(P.device(P.events(spark, sf_dir))))
-    minute, hour, day = (rows.withColumn("grain", F.lit(name)) for name, rows in grains.items())
-    return shown(minute.unionByName(hour).unionByName(day))
+    return shown(cost_grains(device_costs(P.device(P.events(spark, sf_dir)))))
 
 
 # Streams
@@ -291,7 +291,7 @@ def str_window_offset(spark, sf_dir):
 
 @registered
 def str_cost_1h_update(spark, sf_dir):
-    readings = device_readings(P.device(P.event_stream(spark, sf_dir)))
+    readings = device_costs(P.device(P.event_stream(spark, sf_dir)))
     flow = Flow("cost_1h", cost_summary(readings, "1 hour", "1 hour"), "update")
     return shown(latest_revision(revised(spark, flow, COST_SUMMARY), DEVICE_KEYS).drop("batch_id"))
 
@@ -310,7 +310,7 @@ def str_raw_append(spark, sf_dir):
 
 @registered
 def str_cost_1h_append(spark, sf_dir):
-    readings = device_readings(P.device(P.event_stream(spark, sf_dir)))
+    readings = device_costs(P.device(P.event_stream(spark, sf_dir)))
     return shown(appended(spark, cost_summary(readings, "1 hour", "1 hour")))
 
 
@@ -335,7 +335,7 @@ def str_late_rows(spark, sf_dir):
                     when day(ts) <= 20 and event_id % 10 = 5 then 2 when day(ts) <= 20 then 1 else 2 end"""
         ),
     )
-    summary = cost_summary(device_readings(landed_messages(spark, _landing(spark, folder))), "1 hour", "1 hour")
+    summary = cost_summary(device_costs(landed_messages(spark, _landing(spark, folder))), "1 hour", "1 hour")
     for delivery in range(3):
         P.device(rows.where(F.col("delivery") == delivery)).write.mode("append").text(f"{folder}/landing")
         flow = {Flow("cost_1h", summary, "update"): revisions(f"{folder}/table")}
@@ -389,7 +389,7 @@ def str_cost_cascade(spark, sf_dir):
 @registered
 def snk_summary_table(spark, sf_dir):
     folder = shared_folder(spark)
-    readings = device_readings(P.device(P.event_stream(spark, sf_dir)))
+    readings = device_costs(P.device(P.event_stream(spark, sf_dir)))
     flow = Flow("cost_1d", cost_summary(readings, "1 day", "1 day"), "update")
     run_available({flow: revisions(f"{folder}/revisions")}, f"{folder}/checkpoint")
     table = compact(spark, f"{folder}/revisions", f"{folder}/summary", COST_SUMMARY, DEVICE_KEYS)
@@ -463,8 +463,8 @@ def ra_dedup_stream(spark, sf_dir):
 def ra_latest_revision(spark, sf_dir):
     """Hourly costs as three deliveries would leave them behind: running totals, one revision per delivery."""
     rows = P.events(spark, sf_dir)
-    fields = F.from_json(F.expr(f"to_json({P.device_fields()})"), DEVICE_FLOAT).alias("data")
-    readings = rows.select((F.col("event_id") % 3).alias("batch_id"), fields).select("batch_id", "data.*")
+    fields = F.from_json(F.expr(f"to_json({P.device_fields()})"), DEVICE_COST)
+    readings = rows.select((F.col("event_id") % 3).alias("batch_id"), F.inline(F.array(fields)))
     readings = readings.withColumn("STIME", event_time("STIME"))
     sums = windowed_sums(readings, "STIME", "1 hour", (*BY_DEVICE, "batch_id"), [COST])
     so_far = Window.partitionBy("w", *BY_DEVICE).orderBy("batch_id")

@@ -1,5 +1,6 @@
 from .measures import METER_MEASURES, COST, Measure
 from .parsing import (
+    device_costs,
     device_readings,
     event_time,
     lamp_readings,
@@ -17,6 +18,7 @@ __all__ = [
     "COST",
     "METER_MEASURES",
     "Measure",
+    "device_costs",
     "device_readings",
     "event_time",
     "lamp_readings",

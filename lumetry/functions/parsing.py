@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import DEVICE_FLOAT, LAMP, METER
+from ..schemas import DEVICE_COST, DEVICE_FLOAT, LAMP, METER
 
 
 def payload_text(messages: DataFrame) -> DataFrame:
@@ -19,9 +19,13 @@ def nonempty(messages: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame, schema: str) -> DataFrame:
-    """One flat row per message. Text that is no JSON gives a row of NULLs, a field of the wrong type a NULL."""
+    """One flat row per message. Text that is no JSON gives a row of NULLs, a field of the wrong type a NULL.
+
+    The struct passes through `inline` because a filter on parsed fields would otherwise be pushed below the
+    projection and parse every message a second time. Declare only the fields that are used: others are skipped.
+    """
     text = F.col("value").cast("string")
-    return messages.select(F.from_json(text, schema).alias("data")).select("data.*")
+    return messages.select(F.inline(F.array(F.from_json(text, schema))))
 
 
 def parse_array(messages: DataFrame, schema: str) -> DataFrame:
@@ -44,6 +48,11 @@ def device_readings(messages: DataFrame, schema: str = DEVICE_FLOAT) -> DataFram
     return parse(messages, schema).withColumn("STIME", event_time("STIME"))
 
 
+def device_costs(messages: DataFrame) -> DataFrame:
+    """The four columns of device readings that cost summaries use."""
+    return parse(messages, DEVICE_COST).withColumn("STIME", event_time("STIME"))
+
+
 def lamp_readings(messages: DataFrame) -> DataFrame:
     return parse(messages, LAMP).withColumn("timestamp", event_time("timestamp"))
 
@@ -64,16 +73,14 @@ def with_parse_status(messages: DataFrame, schema: str) -> DataFrame:
     Status is `ok`, `empty`, `malformed` (no JSON) or `bad_fields` (JSON that does not fit the schema; the
     fields that do fit are kept). The text is looked at a second time only where the first pass complained.
     """
-    parsed = messages.select(
-        F.col("value").cast("string").alias("value"),
-        F.from_json(
-            F.col("value").cast("string"), f"{schema}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"}
-        ).alias("data"),
-    )
+    text = F.col("value").cast("string")
+    data = F.from_json(text, f"{schema}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
+    parsed = messages.select(text.alias("value"), F.inline(F.array(data)))
+    fields = [f"`{c}`" for c in parsed.columns if c not in ("value", "_bad")]
     status = (
         F.when(F.col("value").isNull() | (F.trim("value") == ""), "empty")
-        .when(F.col("data._bad").isNull(), "ok")
+        .when(F.col("_bad").isNull(), "ok")
         .when(F.try_parse_json("value").isNull(), "malformed")
         .otherwise("bad_fields")
     )
-    return parsed.select("value", status.alias("status"), "data.*").drop("_bad")
+    return parsed.select("value", status.alias("status"), *fields)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import COST
-from ..functions.parsing import device_readings, meter_readings, parse
+from ..functions.parsing import device_costs, device_readings, meter_readings, parse
 from ..operators.summaries import (
     BY_CITY,
     BY_DEVICE,
@@ -21,7 +21,7 @@ from ..operators.summaries import (
     rollup_of_means,
     windowed_sums,
 )
-from ..schemas import DEVICE_INT, METER
+from ..schemas import METER
 from ..sinks.tables import create_if_missing, parquet
 from ..streaming.runner import Flow, run_available
 
@@ -58,13 +58,13 @@ def city(messages: DataFrame) -> list[Flow]:
 
 def cost_1m_rounded(messages: DataFrame) -> list[Flow]:
     """Device cost per minute to two digits."""
-    summary = cost_summary(device_readings(messages, DEVICE_INT), "1 minute", "1 minute", digits=2)
+    summary = cost_summary(device_costs(messages), "1 minute", "1 minute", digits=2)
     return [Flow("cost_1m_rounded", summary, "update", "1 minute")]
 
 
 def cost(messages: DataFrame) -> list[Flow]:
     """Device cost per minute, hour and day. A grain waits one window for late readings."""
-    readings = device_readings(messages)
+    readings = device_costs(messages)
     return [
         Flow("cost_1m", cost_summary(readings, "1 minute", "1 minute"), "update", "1 minute"),
         Flow("cost_1h", cost_summary(readings, "1 hour", "1 hour"), "update", "1 hour"),
@@ -97,7 +97,7 @@ def cost_cascade(spark: SparkSession, messages: DataFrame, path: str, checkpoint
     there now; call it again (same `path` and `checkpoint`) for what came since.
     """
     stored = "timestamp TIMESTAMP, DID INT, DSN STRING, cost_sum DECIMAL(28,6), cost_rest DOUBLE, cost_n BIGINT"
-    frame = windowed_sums(device_readings(messages), "STIME", "1 minute", BY_DEVICE, [COST], "1 day")
+    frame = windowed_sums(device_costs(messages), "STIME", "1 minute", BY_DEVICE, [COST], "1 day")
     tables = {}
     for name, coarser in (("1m", "1 hour"), ("1h", "1 day"), ("1d", None)):
         table = f"{path}/{name}"

@@ -12,6 +12,7 @@ DEVICE_FLOAT = """
     CCD STRING, COST FLOAT, DID INT, DSN STRING, ID INT,
     KPWR FLOAT, KPWS FLOAT, KPWT FLOAT, LAMPWH FLOAT, SN STRING, STIME STRING
 """
+DEVICE_COST = "STIME STRING, DID INT, DSN STRING, COST FLOAT"
 LAMP = "id_kWh INT, city STRING, watt INT, I FLOAT, timestamp STRING"
 
 # The meters' cities by id, the lamps' cities by meter, and the usual power range in watts.
