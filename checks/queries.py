@@ -468,7 +468,7 @@ def ra_latest_revision(spark, sf_dir):
     readings = readings.withColumn("STIME", event_time("STIME"))
     sums = windowed_sums(readings, "STIME", "1 hour", (*BY_DEVICE, "batch_id"), [COST])
     so_far = Window.partitionBy("w", *BY_DEVICE).orderBy("batch_id")
-    running = F.sum("cost_sum").over(so_far).cast("double")
+    running = (F.sum("cost_hundredths").over(so_far) / 100).cast("double")
     revised_rows = sums.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, "batch_id", running.alias("total_cost"))
     return shown(latest_revision(revised_rows, DEVICE_KEYS))
 

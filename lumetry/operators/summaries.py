@@ -96,9 +96,9 @@ def rollup_of_means(
     totals = [
         Measure("total_watt", "total_watt"),
         Measure("total_volt", "total_volt"),
-        Measure("total_amphere", "total_amphere", fractional=True),
+        Measure("total_amphere", "total_amphere", "double"),
     ]
-    means = [Measure(f"avg_{m.name}", f"avg_{m.name}", fractional=True) for m in METER_MEASURES]
+    means = [Measure(f"avg_{m.name}", f"avg_{m.name}", "double") for m in METER_MEASURES]
     aggregates = [a for m in (*totals, *means) for a in m.partials()]
     rolled = minutes.groupBy(F.window(F.window_time("w"), coarse).alias("w"), *keys).agg(*aggregates)
     watt, volt, amphere = totals

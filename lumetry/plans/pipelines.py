@@ -96,13 +96,14 @@ def cost_cascade(spark: SparkSession, messages: DataFrame, path: str, checkpoint
     minute stays open for a day, so whatever the daily grain would still accept is in every grain. Runs over what is
     there now; call it again (same `path` and `checkpoint`) for what came since.
     """
-    stored = "timestamp TIMESTAMP, DID INT, DSN STRING, cost_sum DECIMAL(28,6), cost_rest DOUBLE, cost_n BIGINT"
+    parts = ", ".join(f"{part} {kind}" for part, kind in COST.parts.items())
+    stored = f"timestamp TIMESTAMP, DID INT, DSN STRING, {parts}"
     frame = windowed_sums(device_costs(messages), "STIME", "1 minute", BY_DEVICE, [COST], "1 day")
     tables = {}
     for name, coarser in (("1m", "1 hour"), ("1h", "1 day"), ("1d", None)):
         table = f"{path}/{name}"
         create_if_missing(spark, table, stored)
-        closed = frame.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, "cost_sum", "cost_rest", "cost_n")
+        closed = frame.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, *COST.parts)
         run_available({Flow(f"cascade_{name}", closed): parquet(table)}, checkpoint)
         tables[name] = spark.read.schema(stored).parquet(table).select(
             "timestamp", *BY_DEVICE, COST.total().alias("total_cost")
