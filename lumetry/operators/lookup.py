@@ -6,18 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
 def with_city(readings: DataFrame, cities: DataFrame, key: str = "id") -> DataFrame:
     """Inner join of readings with a city table that has one row per `key`.
 
-    A table of at most `BROADCAST_ROWS` rows (counted, not assumed) goes to every executor and the readings stay
-    where they are. A larger one is joined on the key plus a salt: its rows are repeated once per salt, so the
-    readings of one busy key spread over `SALTS` tasks.
+    A table within `BROADCAST_ROWS` and `BROADCAST_BYTES` (measured, not assumed) goes to every executor and the
+    readings stay where they are. A larger one is joined on the key plus a salt: its rows are repeated once per salt,
+    so the readings of one busy key spread over `SALTS` tasks.
     """
-    if cities.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if _is_small(cities):
         return readings.join(F.broadcast(cities), key)
-    salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS))))
-    spread = readings.withColumn("_salt", F.pmod(F.xxhash64(*(f"`{c}`" for c in readings.columns)), F.lit(SALTS)).cast("int"))
-    return spread.join(cities.withColumn("_salt", salts), [key, "_salt"]).drop("_salt")
+    fields = [F.col(f"`{c}`") for c in readings.columns]
+    salted = readings.withColumn("_salt", F.pmod(F.xxhash64(*fields), F.lit(SALTS)).cast("int"))
+    repeated = cities.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
+def _is_small(table: DataFrame) -> bool:
+    width = F.length(F.to_json(F.struct("*")))
+    size = table.limit(BROADCAST_ROWS + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    )
+    measured = size.first()
+    return measured["rows"] <= BROADCAST_ROWS and measured["bytes"] <= BROADCAST_BYTES

@@ -53,14 +53,17 @@ def document_store(connector: str, **options: str) -> Sink:
     return lambda writer: writer.foreachBatch(write)
 
 
-def revisions(path: str) -> Sink:
+def revisions(path: str, files: int | None = None) -> Sink:
     """Keep what each batch changed, as `batch_id=<n>` below `path`.
 
-    For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folder.
+    For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folder,
+    so a new checkpoint, which counts batches from 0, needs a new path. `files` bounds the files per batch; without
+    it each state partition writes its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = batch.repartition(files) if files else batch
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return lambda writer: writer.foreachBatch(write)
 
