@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumetry.sources import spread
+
 METER_FIELDS = """
     'date_time', date_format(timestamp_seconds(1704067200 + {id} * 2), 'yyyy-MM-dd HH:mm:ss'),
     'id', cast({id} % 5 + 1 as string),
@@ -34,11 +36,11 @@ LAMP_FIELDS = """
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = events(spark, sf_dir).schema
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 

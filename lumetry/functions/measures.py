@@ -23,9 +23,9 @@ TOTAL = "decimal(28,6)"
 HUNDREDTHS_BELOW = 100_000
 
 
-def exact(value: Column) -> Column:
-    """A float or double as the decimal it is written as; NULL where it does not fit."""
-    return value.cast("string").try_cast(READING)
+def exact(value: str) -> str:
+    """SQL for a float or double as the decimal it is written as; NULL where it does not fit."""
+    return f"try_cast(cast({value} AS string) AS {READING})"
 
 
 class Measure(NamedTuple):
@@ -45,58 +45,53 @@ class Measure(NamedTuple):
 
     def partials(self) -> list[Column]:
         """Aggregates over readings."""
-        value = F.col(f"`{self.column}`")
-        if not self.kind:
-            sums = [F.sum(value)]
-        else:
-            hundredths = F.rint(value.cast("double") * 100).try_cast("bigint")
-            short = (F.abs(value) < HUNDREDTHS_BELOW) & ((hundredths / 100.0).cast(self.kind) == value)
-            other = F.when(~short, value)
-            decimal = exact(other)
+        value = f"`{self.column}`"
+        sums = [f"sum({value})", f"count({value})"]
+        if self.kind:
+            hundredths = f"try_cast(rint(double({value}) * 100) AS bigint)"
+            short = f"(abs({value}) < {HUNDREDTHS_BELOW} AND cast({hundredths} / 100D AS {self.kind}) = {value})"
+            other = f"CASE WHEN NOT {short} THEN {value} END"
             sums = [
-                F.sum(F.when(short, hundredths)),
-                F.sum(decimal),
-                F.sum(F.when(decimal.isNull(), other.cast("double"))),
+                f"sum(CASE WHEN {short} THEN {hundredths} END)",
+                f"sum({exact(other)})",
+                f"sum(CASE WHEN {exact(other)} IS NULL THEN double({other}) END)",
+                f"count({value})",
             ]
-        return [total.alias(part) for total, part in zip([*sums, F.count(value)], self.parts)]
+        return [F.expr(total).alias(part) for total, part in zip(sums, self.parts, strict=True)]
 
     def merged(self) -> list[Column]:
         """Aggregates over partial sums, of the same names and types."""
-        return [F.sum(part).cast(kind).alias(part) for part, kind in self.parts.items()]
-
-    def _decimal(self) -> Column:
-        total = F.col(f"{self.name}_sum")
-        if not self.kind:
-            return total.cast(TOTAL)
-        hundredths = F.col(f"{self.name}_hundredths").cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
-        zero = F.lit(0).cast(TOTAL)
-        return F.coalesce(hundredths.cast(TOTAL) + F.coalesce(total, zero), total).cast(TOTAL)
-
-    def _double(self) -> Column:
-        return F.coalesce(self._decimal().cast("double"), F.lit(0.0)) + F.col(f"{self.name}_rest")
+        return [F.expr(f"cast(sum({part}) AS {kind})").alias(part) for part, kind in self.parts.items()]
 
     def total(self, digits: int | None = None) -> Column:
         """The sum, rounded half up if `digits` is given."""
         if not self.kind:
             return F.col(f"{self.name}_sum")
-        return self._settled(self._decimal(), self._double(), digits)
+        return F.expr(self._settled(self._decimal(), self._double(), digits))
 
     def mean(self, digits: int = 2) -> Column:
         """The mean of the readings that are present, rounded half up."""
-        n = F.col(f"{self.name}_n")
-        mean = F.try_divide(self._decimal(), n.cast("decimal(20,0)"))
+        n = f"{self.name}_n"
+        mean = f"try_divide({self._decimal()}, cast({n} AS decimal(20,0)))"
         if not self.kind:
-            return _rounded(mean, digits).cast("double")
-        return self._settled(mean, self._double() / n, digits)
+            return F.expr(f"double(round({mean}, {digits}))")
+        return F.expr(self._settled(mean, f"({self._double()}) / {n}", digits))
 
-    def _settled(self, decimal: Column, double: Column, digits: int | None) -> Column:
-        """The decimal result, or the double one if a reading had to be added as a double."""
-        rest = F.col(f"{self.name}_rest")
-        return F.when(rest.isNull(), _rounded(decimal, digits).cast("double")).otherwise(_rounded(double, digits))
+    def _decimal(self) -> str:
+        total = f"{self.name}_sum"
+        if not self.kind:
+            return f"cast({total} AS {TOTAL})"
+        hundredths = f"cast({self.name}_hundredths AS decimal(20,0)) * 0.01BD"
+        return f"cast(coalesce({hundredths} + coalesce({total}, 0), {total}) AS {TOTAL})"
 
+    def _double(self) -> str:
+        return f"coalesce(double({self._decimal()}), 0D) + {self.name}_rest"
 
-def _rounded(value: Column, digits: int | None) -> Column:
-    return value if digits is None else F.round(value, digits)
+    def _settled(self, decimal: str, double: str, digits: int | None) -> str:
+        """The decimal result, or the double one if a reading had to be added as a double."""
+        if digits is not None:
+            decimal, double = f"round({decimal}, {digits})", f"round({double}, {digits})"
+        return f"CASE WHEN {self.name}_rest IS NULL THEN double({decimal}) ELSE {double} END"
 
 
 METER_MEASURES = (

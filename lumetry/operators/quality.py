@@ -16,13 +16,12 @@ def with_derived_current(readings: DataFrame) -> DataFrame:
 
     Both are NULL where a figure is missing or the voltage is zero.
     """
-    watt, volt = (F.col(c).cast("decimal(10,0)") for c in ("`P (watt)`", "`V (volt)`"))
-    reported = exact(F.col("`I (amphere)`"))
-    off = F.abs(reported * volt - watt)
+    watt, volt = "cast(`P (watt)` AS decimal(10,0))", "cast(`V (volt)` AS decimal(10,0))"
+    off = f"abs({exact('`I (amphere)`')} * {volt} - {watt})"
     return readings.withColumns(
         {
-            "derived_amphere": F.round(F.try_divide(watt, volt), 2).cast("double"),
-            "consistent": F.when(volt != 0, off <= F.abs(volt) * F.lit("0.005").cast("decimal(4,3)")),
+            "derived_amphere": F.expr(f"double(round(try_divide({watt}, {volt}), 2))"),
+            "consistent": F.expr(f"CASE WHEN {volt} <> 0 THEN {off} <= abs({volt}) * 0.005BD END"),
         }
     )
 

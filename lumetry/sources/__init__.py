@@ -1,5 +1,5 @@
 from .messages import kafka_messages, kafka_options, landed_messages, socket_messages
-from .readings import empty_table, read_json, table_of
+from .readings import empty_table, read_json, spread, table_of
 
 __all__ = [
     "empty_table",
@@ -8,5 +8,6 @@ __all__ = [
     "landed_messages",
     "read_json",
     "socket_messages",
+    "spread",
     "table_of",
 ]
