@@ -154,6 +154,8 @@ ORACLES: dict[str, str] = {
     "src_message_stream": _device("double", time=_SECOND),
     "src_message_stream_earliest": _METER_TIMED,
     "src_json_batch": _METER_TEXT,
+    "src_json_stream": _METER_TIMED,
+    "src_json_summary": _cost("1 hour"),
     "src_empty_schema": _DEVICE_TEXT,
     "prj_payload_text": "select props as value from events",
     "prj_parse_meter": _METER_TEXT,

@@ -21,6 +21,7 @@ from lumetry.functions import (
     parse,
     parse_array,
     payload_text,
+    timed,
     to_document,
     with_cost_default,
     with_parse_status,
@@ -131,6 +132,20 @@ def src_json_batch(spark, sf_dir):
     return shown(read_json(spark, landing, METER))
 
 
+@registered
+def src_json_stream(spark, sf_dir):
+    landing = shared_folder(spark)
+    P.meter(P.events(spark, sf_dir)).write.text(landing)
+    return shown(appended(spark, timed(read_json(spark, landing, METER, stream=True), "date_time")))
+
+
+@registered
+def src_json_summary(spark, sf_dir):
+    landing = shared_folder(spark)
+    P.device(P.events(spark, sf_dir)).write.text(landing)
+    return shown(cost_summary(timed(read_json(spark, landing, DEVICE_FLOAT), "STIME"), "1 hour"))
+
+
 @registered
 def src_empty_schema(spark, sf_dir):
     return shown(grown(empty_table(spark, DEVICE_INT), parse(P.device(P.events(spark, sf_dir)), DEVICE_INT)))

@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetry.functions import device_costs, event_time, meter_readings
+from lumetry.functions import device_costs, event_time, meter_readings, timed
 from lumetry.operators import cost_grains, cost_summary, drop_resent, meter_summary, rollup_of_means
 from lumetry.plans import PIPELINES, cost_cascade
-from lumetry.schemas import DEVICE_INT, METER
+from lumetry.schemas import DEVICE_FLOAT, DEVICE_INT, METER
 from lumetry.session import prepare, shared_folder
 from lumetry.sinks import parquet, revisions
-from lumetry.sources import landed_messages
+from lumetry.sources import landed_messages, read_json
 from lumetry.streaming import run_available
 
 from . import payloads as P
@@ -60,9 +60,10 @@ def main() -> None:
     copies = int(sys.argv[1]) if len(sys.argv) > 1 else 40
     spark = prepare(local_session())
     folder = shared_folder(spark)
-    rows = P.events(spark, FOLDER).withColumn("event_id", F.explode(F.expr(f"transform(sequence(0, {copies - 1}), k -> event_id * {copies} + k)")))
+    ids = F.expr(f"transform(sequence(0, {copies - 1}), k -> event_id * {copies} + k)")
+    rows = P.events(spark, FOLDER).withColumn("event_id", F.explode(ids))
     P.meter(rows).write.text(f"{folder}/meter")
-    P.device(rows.withColumn("event_id", F.col("event_id") % 1_000_000_000)).write.text(f"{folder}/device")
+    P.device(rows).write.text(f"{folder}/device")
     meter, device = (landed_messages(spark, f"{folder}/{kind}", stream=False) for kind in ("meter", "device"))
     total = meter.count()
     stream = landed_messages(spark, f"{folder}/device")
@@ -83,11 +84,20 @@ def main() -> None:
     shapes: dict[str, Callable[[], None]] = {
         "meter_1m plain": lambda: run(lambda: plain_meter(meter)),
         "meter_1m": lambda: run(lambda: meter_summary(meter_readings(meter), "1 minute")),
+        "meter_1m, files read as JSON": lambda: run(
+            lambda: meter_summary(timed(read_json(spark, f"{folder}/meter", METER), "date_time"), "1 minute")
+        ),
         "meter_5m rollup": lambda: run(lambda: rollup_of_means(meter_readings(meter))),
         "cost_1h plain": lambda: run(lambda: plain_cost(device, "1 hour")),
         "cost_1h": lambda: run(lambda: cost_summary(device_costs(device), "1 hour")),
+        "cost_1h, files read as JSON": lambda: run(
+            lambda: cost_summary(timed(read_json(spark, f"{folder}/device", DEVICE_FLOAT), "STIME"), "1 hour")
+        ),
         "three grains plain": lambda: run(lambda: plain_grains(device)),
         "three grains": lambda: run(lambda: cost_grains(device_costs(device))),
+        "three grains, files read as JSON": lambda: run(
+            lambda: cost_grains(timed(read_json(spark, f"{folder}/device", DEVICE_FLOAT), "STIME"))
+        ),
         "drop copies": lambda: run(lambda: drop_resent(meter_readings(meter))),
         "stream: three grains, one query each": fan_out,
         "stream: three grains, cascade": cascade,

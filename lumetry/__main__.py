@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import PIPELINES
 from .session import build_session
-from .sinks import console, documents, jdbc_revisions, parquet, revisions
+from .sinks import console, document_store, documents, jdbc_revisions, parquet, revisions
 from .sinks.tables import Sink
 from .sources import kafka_messages, landed_messages, socket_messages
 from .streaming import Flow, await_any, start
@@ -26,6 +26,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--table", metavar="FOLDER", help="write tables below this folder instead of the console")
     parser.add_argument("--jdbc", metavar="URL", help="write summaries to tables named after their flow")
     parser.add_argument("--driver", help="JDBC driver class")
+    parser.add_argument("--raw-connector", help="write raw readings through a document-store connector, e.g. mongodb")
+    parser.add_argument("--raw-option", action="append", default=[], metavar="KEY=VALUE", help="for that connector")
     parser.add_argument("--checkpoint", required=True, help="folder that all executors share")
     parser.add_argument("--every", help="time between batches instead of the pipeline's own")
     parser.add_argument("--available-now", action="store_true", help="read what is there and end")
@@ -45,14 +47,17 @@ def messages_of(spark: SparkSession, chosen: argparse.Namespace) -> DataFrame:
 
 
 def sink_of(flow: Flow, chosen: argparse.Namespace) -> Sink:
-    if chosen.jdbc and not flow.name.startswith("raw"):
+    raw = flow.name.startswith("raw")
+    if chosen.raw_connector and raw:
+        return document_store(chosen.raw_connector, **dict(o.split("=", 1) for o in chosen.raw_option))
+    if chosen.jdbc and not raw:
         options = {"driver": chosen.driver} if chosen.driver else {}
         return jdbc_revisions(chosen.jdbc, flow.name, **options)
     if chosen.table:
         path = f"{chosen.table.rstrip('/')}/{flow.name}"
         if flow.mode == "update":
             return revisions(path)
-        return documents(path) if flow.name.startswith("raw") else parquet(path)
+        return documents(path) if raw else parquet(path)
     return console()
 
 

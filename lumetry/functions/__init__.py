@@ -9,6 +9,7 @@ from .parsing import (
     parse,
     parse_array,
     payload_text,
+    timed,
     to_document,
     with_cost_default,
     with_parse_status,
@@ -27,6 +28,7 @@ __all__ = [
     "parse",
     "parse_array",
     "payload_text",
+    "timed",
     "to_document",
     "with_cost_default",
     "with_parse_status",

@@ -39,22 +39,27 @@ def event_time(text: Column | str) -> Column:
     return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
 
 
+def timed(readings: DataFrame, column: str) -> DataFrame:
+    """Readings with their text time as event time."""
+    return readings.withColumn(column, event_time(column))
+
+
 def meter_readings(messages: DataFrame) -> DataFrame:
-    return parse(messages, METER).withColumn("date_time", event_time("date_time"))
+    return timed(parse(messages, METER), "date_time")
 
 
 def device_readings(messages: DataFrame, schema: str = DEVICE_FLOAT) -> DataFrame:
     """Device readings. The default schema reads whole and broken power figures alike."""
-    return parse(messages, schema).withColumn("STIME", event_time("STIME"))
+    return timed(parse(messages, schema), "STIME")
 
 
 def device_costs(messages: DataFrame) -> DataFrame:
     """The four columns of device readings that cost summaries use."""
-    return parse(messages, DEVICE_COST).withColumn("STIME", event_time("STIME"))
+    return timed(parse(messages, DEVICE_COST), "STIME")
 
 
 def lamp_readings(messages: DataFrame) -> DataFrame:
-    return parse(messages, LAMP).withColumn("timestamp", event_time("timestamp"))
+    return timed(parse(messages, LAMP), "timestamp")
 
 
 def with_cost_default(readings: DataFrame) -> DataFrame:

@@ -20,6 +20,14 @@ SETTINGS = {
 }
 
 
+# For batches of tens of terabytes: fewer, larger splits, and many shuffle partitions that AQE merges as needed.
+VOLUME = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "10000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on to a session somebody else built."""
     for key, value in SETTINGS.items():

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from .tables import Sink
 
-# Column types for databases in which the writer's own choice would be too narrow or cannot be a key.
-COST_COLUMNS = "timestamp TIMESTAMP, DID INTEGER, DSN VARCHAR(255), total_cost DOUBLE, batch_id BIGINT"
-CITY_COLUMNS = (
-    "timestamp VARCHAR(19), city VARCHAR(255), total_watt BIGINT, total_volt BIGINT, total_amphere DOUBLE, "
-    "avg_watt DOUBLE, avg_volt DOUBLE, avg_amphere DOUBLE, batch_id BIGINT"
-)
-METER_COLUMNS = CITY_COLUMNS.replace("city ", "id VARCHAR(255), city ", 1)
+# Text columns that a database can index, instead of the unbounded text Spark would choose.
+TEXT_COLUMNS = {"id": "VARCHAR(255)", "city": "VARCHAR(255)", "DSN": "VARCHAR(255)"}
 
 
 def jdbc_options(
-    url: str, table: str, columns: str | None = None, connections: int = 8, **options: str
+    url: str, table: str, columns: Sequence[str] = (), connections: int = 8, **options: str
 ) -> dict[str, str]:
     """Options of the JDBC writer: large insert batches over a bounded number of connections."""
     chosen = {
@@ -28,24 +25,29 @@ def jdbc_options(
         "batchsize": "10000",
         "isolationLevel": "READ_COMMITTED",
     }
-    if columns:
-        chosen["createTableColumnTypes"] = columns
+    types = [f"{name} {TEXT_COLUMNS[name]}" for name in columns if name in TEXT_COLUMNS]
+    if types:
+        chosen["createTableColumnTypes"] = ", ".join(types)
     return {**chosen, **options}
 
 
-def jdbc_revisions(
-    url: str, table: str, columns: str | None = None, connections: int = 8, **options: str
-) -> Sink:
+def jdbc_rows(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Summary rows as they go into a table: with a `batch_id`, and the window start as a zone-less date and time."""
+    return batch.withColumns(
+        {"timestamp": F.col("timestamp").cast("timestamp_ntz"), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+
+
+def jdbc_revisions(url: str, table: str, connections: int = 8, **options: str) -> Sink:
     """Append what each batch changed, with its `batch_id`. The first batch creates the table.
 
     The executors insert; nothing passes through the driver. Spark commits per task, so a batch that fails halfway
     leaves rows which its second run repeats with the same id: read the table through `latest_revision`.
     """
-    chosen = jdbc_options(url, table, columns, connections, **options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows.write.format("jdbc").options(**chosen).mode("append").save()
+        chosen = jdbc_options(url, table, batch.columns, connections, **options)
+        jdbc_rows(batch, batch_id).write.format("jdbc").options(**chosen).mode("append").save()
 
     def setup(writer: DataStreamWriter) -> DataStreamWriter:
         return writer.foreachBatch(write)

@@ -79,6 +79,6 @@ def read_revisions(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: str, keys: Sequence[str]) -> DataFrame:
-    """Write the latest revision of each key to `target` and return that table."""
+    """Write the latest revision of each key to `target`, a new folder per run, and return that table."""
     latest_revision(read_revisions(spark, path, schema), keys).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

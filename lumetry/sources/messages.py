@@ -41,13 +41,10 @@ def socket_messages(spark: SparkSession, host: str = "localhost", port: int = 99
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-def landed_messages(
-    spark: SparkSession, path: str, stream: bool = True, files_per_trigger: int | None = None
-) -> DataFrame:
-    """Messages landed as text files, one per line. A stream reads the files that are there, then new ones."""
-    if not stream:
-        return spark.read.text(path)
-    reader = spark.readStream
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(path)
+def landed_messages(spark: SparkSession, path: str, stream: bool = True, **options: str) -> DataFrame:
+    """Messages landed as text files, one per line. A stream reads the files that are there, then new ones.
+
+    `maxBytesPerTrigger` or `maxFilesPerTrigger` bounds a micro-batch when a stream catches up.
+    """
+    reader = spark.readStream if stream else spark.read
+    return reader.options(**options).text(path)

@@ -31,3 +31,10 @@ def test_summaries_go_to_the_database_and_raw_readings_to_files():
     chosen = arguments(["raw_and_cost", "--socket", "a:1", "--checkpoint", "c", "--jdbc", "jdbc:x", "--table", "t"])
     assert "jdbc" in sink_of(Flow("cost_1m", None, "update"), chosen).__qualname__
     assert "_files" in sink_of(Flow("raw_device", None), chosen).__qualname__
+
+
+def test_raw_readings_can_go_to_a_document_store():
+    connector = ["--raw-connector", "mongodb", "--raw-option", "connection.uri=mongodb://h/?a=b"]
+    chosen = arguments(["raw_and_cost", "--socket", "a:1", "--checkpoint", "c", *connector])
+    assert "document_store" in sink_of(Flow("raw_device", None), chosen).__qualname__
+    assert "console" in sink_of(Flow("cost_1m", None, "update"), chosen).__qualname__

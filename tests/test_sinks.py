@@ -15,6 +15,7 @@ from lumetry.sinks import (
     revisions,
 )
 from lumetry.sources import empty_table, kafka_messages, kafka_options, landed_messages, read_json, socket_messages, table_of
+from lumetry.sinks.jdbc import jdbc_rows
 from lumetry.streaming import Flow, run_available
 
 
@@ -71,18 +72,26 @@ def test_document_store_appends_through_its_connector(spark):
 
 
 def test_jdbc_options():
-    options = jdbc_options("jdbc:x", "summary_1m", "DID INTEGER", connections=4, driver="d", batchsize="5")
+    options = jdbc_options("jdbc:x", "summary_1m", ["timestamp", "DID", "DSN"], connections=4, driver="d", batchsize="5")
     assert options == {
         "url": "jdbc:x",
         "dbtable": "summary_1m",
         "numPartitions": "4",
         "batchsize": "5",
         "isolationLevel": "READ_COMMITTED",
-        "createTableColumnTypes": "DID INTEGER",
+        "createTableColumnTypes": "DSN VARCHAR(255)",
         "driver": "d",
     }
 
 
+def test_jdbc_rows_carry_their_batch_and_a_zoneless_time(spark):
+    rows = jdbc_rows(summary(spark, ("2024-01-01", 1, "a", 1.0)), 7)
+    kinds = dict(rows.dtypes)
+    assert (kinds["timestamp"], kinds["batch_id"], rows.first()["batch_id"]) == ("timestamp_ntz", "bigint", 7)
+    as_text = spark.createDataFrame([("2024-01-01 00:05:00", "a", 1)], "timestamp STRING, city STRING, total_watt BIGINT")
+    assert jdbc_rows(as_text, 0).first()["timestamp"].minute == 5
+
+
 def test_jdbc_failures_are_not_swallowed(spark):
     write = jdbc_revisions("jdbc:none:nowhere", "t")(Writer()).write
     with pytest.raises(Exception, match="(?i)driver"):
@@ -116,5 +125,7 @@ def test_tables_with_a_schema(spark):
 
 def test_json_files_with_a_declared_schema(spark):
     folder = shared_folder(spark)
-    spark.createDataFrame([('{"a":1,"z":2}',), ("no",)], "value STRING").write.text(folder)
-    assert sorted(tuple(r) for r in read_json(spark, folder, "a INT, b STRING").collect() if r["a"]) == [(1, None)]
+    texts = ['{"a":1,"z":2}', "no", "", '{"a":"x","b":"y"}', '[{"a":2},{"a":3}]']
+    spark.createDataFrame([(t,) for t in texts], "value STRING").coalesce(1).write.text(folder)
+    rows = [tuple(r) for r in read_json(spark, folder, "a INT, b STRING").collect()]
+    assert rows == [(1, None), (None, None), (None, "y"), (2, None), (3, None)]

@@ -66,7 +66,7 @@ def test_late_rows_find_their_window_closed(spark, landing):
 def test_late_rows_within_one_run_follow_the_watermark_of_the_batch_before(spark, landing):
     for time, amount in (("00:00:01", 1), ("00:10:00", 2), ("00:00:02", 4), ("00:00:03", 8)):
         landing.deliver(cost(time, amount))
-    one_by_one = landed_messages(spark, f"{landing.folder}/landing", files_per_trigger=1)
+    one_by_one = landed_messages(spark, f"{landing.folder}/landing", maxFilesPerTrigger="1")
     frame = cost_summary(device_costs(one_by_one), "1 minute", "1 minute")
     table = f"{landing.folder}/table"
     landing.run(frame, revisions(table), "update")
