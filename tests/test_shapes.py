@@ -6,9 +6,12 @@ from checks import payloads as P
 from checks.queries import QUERIES
 from lumetry.functions import device_costs, meter_readings, with_parse_status
 from lumetry.operators import cost_grains, cost_summary, drop_resent, latest_revision, meter_summary
+from lumetry.plans import PIPELINES
 from lumetry.schemas import METER
+from lumetry.sinks import revisions
 from lumetry.sources import landed_messages
 from lumetry.session import shared_folder
+from lumetry.streaming import start
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +48,18 @@ def test_summaries_fold_readings_before_their_only_shuffle(landed):
         assert "SortAggregate" not in text and "Sort " not in text
 
 
+def test_streams_fold_readings_before_the_shuffle_too(spark, capsys):
+    folder = shared_folder(spark)
+    P.meter(P.events(spark, "/root/testdata/sf0.001")).write.text(f"{folder}/landing")
+    (flow,) = PIPELINES["meter_1m"](landed_messages(spark, f"{folder}/landing"))
+    query = start(flow, revisions(f"{folder}/table"), folder, available_now=True)
+    query.awaitTermination()
+    query.explain()
+    text = capsys.readouterr().out
+    assert text.count("Exchange") == 1 and text.count("from_json") == 1
+    assert "partial_sum" in text.split("Exchange")[1] and "StateStoreSave" in text.split("Exchange")[0]
+
+
 def test_copies_fold_before_the_shuffle(landed):
     text = plan(drop_resent(meter_readings(landed)))
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
