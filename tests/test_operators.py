@@ -86,7 +86,8 @@ def test_days_can_begin_at_a_local_midnight(spark):
 
 
 def test_latest_revision_takes_the_highest_number_also_when_it_is_null(spark):
-    table = spark.createDataFrame([("a", 1, 5.0), ("a", 10, 7.0), ("a", 9, 6.0), ("b", 2, None), ("b", 1, 1.0)], "k STRING, batch_id BIGINT, v DOUBLE")
+    stored = [("a", 1, 5.0), ("a", 10, 7.0), ("a", 9, 6.0), ("b", 2, None), ("b", 1, 1.0)]
+    table = spark.createDataFrame(stored, "k STRING, batch_id BIGINT, v DOUBLE")
     rows = {r["k"]: (r["v"], r["batch_id"]) for r in latest_revision(table, ["k"]).collect()}
     assert rows == {"a": (7.0, 10), "b": (None, 2)}
 

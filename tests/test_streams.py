@@ -164,7 +164,10 @@ def test_pipelines_run_on_the_right_messages(spark):
         kind = "meter" if name in ("raw_meter", "meter_1m", "meter_5m", "city") else "device"
         folder = shared_folder(spark)
         flows = pipeline(sent[kind])
-        sinks = {f: revisions(f"{folder}/{f.name}", files=1) if f.mode == "update" else parquet(f"{folder}/{f.name}") for f in flows}
+        sinks = {
+            f: revisions(f"{folder}/{f.name}", files=1) if f.mode == "update" else parquet(f"{folder}/{f.name}")
+            for f in flows
+        }
         run_available(sinks, f"{folder}/checkpoint")
         for flow in flows:
             assert spark.read.parquet(f"{folder}/{flow.name}").count() > 0, flow.name
