@@ -1,3 +1,32 @@
 """The registered queries of this package in plain SQL, where SQL can express them."""
 
+from __future__ import annotations
+
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op10_fm_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, n, list_slice(words, k, k + n - 1) AS phrase
+  FROM (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS k
+        FROM (SELECT item_id, words, least(10, len(words)) AS n FROM items) WHERE n > 0)),
+windows AS (
+  SELECT doc_id, n, k, list_slice(words, k, k + n - 1) AS phrase
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS k
+        FROM docs CROSS JOIN (SELECT DISTINCT n FROM phrases) WHERE len(words) >= n)),
+found AS (SELECT doc_id, k, n, item_id FROM windows JOIN phrases USING (n, phrase)),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + n)) AS word FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

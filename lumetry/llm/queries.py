@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import packing, token_files
+from . import decontamination, packing, quality, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,8 +25,29 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.scores(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens"
     token_files.write_tokens(table(spark, sf_dir, "documents"), path)
     return token_files.document_digests(spark, path)
+
+
+@query
+def op10_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
