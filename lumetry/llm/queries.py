@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import decontamination, packing, quality, token_files
+from . import decontamination, near_duplicates, packing, quality, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+@query
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "group_id", (F.col("doc_id") == F.col("group_id")).alias("kept"))
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
