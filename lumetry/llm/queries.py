@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import decontamination, near_duplicates, packing, quality, token_files
+from . import decontamination, near_duplicates, packing, quality, substrings, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,15 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
 
 
+@query
+def op5_gear_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeats, with the number of words taken out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substrings.deduplicated(docs)
+    repeated = F.col(substrings.REMOVED) > 0
+    return done.select("doc_id", "text", substrings.REMOVED, repeated.alias("repeated"), substrings.SPANS)
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens"
