@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORD_BYTE, blocks, mix, settled, span_hashes, spans
+from .common import U64, WORD_BYTE, blocks, gathered, mix, settled, span_hashes, spans
 
 ROLL = 16  # bytes that the gear hash looks back
 MEAN_CHUNK = 32  # bytes between two cuts, on average
 CLOSE = 4  # a cut at most so many bytes after another is none, but at the end of a line
+LONGEST_CHUNK = 256  # where no cut comes, as in a word said over and over, one is made after so many bytes
 LEAST_WORDS = 50  # repeats of fewer words stay
 CONTEXT = 512  # bytes around an original that a repeat can be continued into: sixteen times the mean chunk
 BLOCK = 1 << 18
@@ -52,7 +53,13 @@ def gear_cuts(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
     lines = np.flatnonzero(data[:-1] == 10) + 1
     first = np.zeros(len(data) + 1, bool)
     first[at] = first[lines] = first[edges[:-1]] = True
-    return np.flatnonzero(first[:-1])
+    starts = np.flatnonzero(first[:-1])
+    more = (np.diff(starts, append=len(data)) - 1) // LONGEST_CHUNK
+    long = np.flatnonzero(more)
+    if len(long):
+        added = gathered(np.ones(len(long), np.int64), more[long]) * LONGEST_CHUNK + np.repeat(starts[long], more[long])
+        starts = np.union1d(starts, added)
+    return starts
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
