@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import decontamination, near_duplicates, packing, quality, substrings, token_files
+from . import cover_tree, decontamination, near_duplicates, packing, quality, substrings, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op5_gear_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", substrings.REMOVED, repeated.alias("repeated"), substrings.SPANS)
 
 
+@query
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens"
