@@ -6,9 +6,10 @@ earliest dart of each coordinate is the signature there, and two texts agree on
 their (weighted) Jaccard similarity. Only about t ln t + 2t darts are looked at for t coordinates, whatever the length
 of the text, since the time up to which darts are thrown shrinks with the text's total weight (Christiani, 2020).
 
-Equal texts are one class, compared once. Classes that agree on a band of coordinates share a bucket. No bucket is
-expanded into all its pairs: its members are compared with one leader; only members of one bucket that are still in
-different components after that are compared with each other.
+Equal texts are one class, compared once. Classes that agree on a band of coordinates share a bucket. Its members are
+compared with one leader, and only members of one bucket that are still in different components after that with each
+other: their signatures first, inside the bucket, and the texts of those pairs alone whose signatures agree. A bucket of
+more than some thousand such members is banded anew by further coordinates until none is.
 """
 
 from __future__ import annotations
@@ -21,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, digest, mix, settled, spans, words_of
+from .common import U64, blocks, digest, mix, partitions, settled, spans, words_of
 from .graph import components
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4  # two texts of similarity 0.8 share no band with a probability of (1 - 0.8**4)**32 = 5e-8
-COORDINATES = BANDS * ROWS
-ESTIMATE = 0.58  # pairs whose signatures agree less are not compared: for similarity 0.8, over six standard deviations
+COORDINATES = 2 * BANDS * ROWS  # the bands take the first half; all are used to estimate similarities
+ESTIMATE = 0.7  # pairs whose signatures agree on less are not compared: for similarity 0.8, four standard deviations
+BUCKET = 4096  # members of different components that are compared in one task
+DEEPER, SPLITS, DEPTH = 6, 5, 6  # a larger bucket: coordinates added to its band, ways to do so, and times, at most
 BLOCK = 1 << 18  # characters handled at a time
 
 # Time is cut into cells: at first ever longer ones, up to half a dart for each unit of weight, then cells of one dart.
@@ -185,7 +188,61 @@ def band_keys(prints: str = "prints") -> Column:
     return F.array(*(F.xxhash64(F.lit(i), F.substring(prints, width * i + 1, width)) for i in range(BANDS)))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, counted: bool = False) -> DataFrame:
+def deeper_keys(depth: int) -> Column:
+    """Keys of a bucket's parts: the bucket's and more coordinates, in several ways."""
+    keys = []
+    for way in range(SPLITS):
+        # A fixed choice of coordinates for each depth and way, spread over the signature.
+        chosen = [int(c) for c in mix(np.arange(DEEPER, dtype=U64) + U64(1000 * depth + 100 * way)) % U64(COORDINATES)]
+        keys.append(F.xxhash64("key", F.lit(way), *(F.substring("prints", 2 * c + 1, 2) for c in chosen)))
+    return F.array(*keys)
+
+
+def _bucket_pairs(ids: np.ndarray, parts: np.ndarray, prints: np.ndarray, band: int, least: float) -> np.ndarray:
+    """The pairs of one bucket that are in different components and whose prints agree on that share of coordinates.
+
+    A pair that shares several bands is found in the first of them only.
+    """
+    words = np.ascontiguousarray(prints).view("<u8")  # ROWS prints are one word: the bands come first
+    found = []
+    for i in range(len(ids) - 1):
+        rest = np.flatnonzero(parts[i + 1 :] != parts[i]) + i + 1
+        near = rest[np.count_nonzero(prints[rest] == prints[i], axis=1) >= least * prints.shape[1]]
+        if band > 0:
+            near = near[~(words[near, :band] == words[i, :band]).any(1)]
+        found.append(np.stack([np.full(len(near), ids[i]), ids[near]], 1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _bucketed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """_bucket_pairs of rows (key, band, id, component, prints) that come bucket by bucket."""
+
+    def paired(columns: list[np.ndarray]) -> pa.RecordBatch:
+        key, band, ids, parts, prints = columns
+        edges = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        pairs = [_bucket_pairs(ids[a:b], parts[a:b], prints[a:b], int(band[a]), least) for a, b in zip(edges[:-1], edges[1:])]
+        pair = np.sort(np.concatenate(pairs), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+
+    kept: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(4)]
+        columns.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u2").reshape(batch.num_rows, -1))
+        if kept is not None:
+            columns = [np.concatenate(pair) for pair in zip(kept, columns)]
+        last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last bucket may go on in the next batch
+        if last:
+            yield paired([c[:last] for c in columns])
+        kept = [c[last:] for c in columns]
+    if kept is not None:
+        yield paired(kept)
+
+
+def near_duplicates(
+    docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, counted: bool = False, bucket: int = BUCKET
+) -> DataFrame:
     """doc_id, digest of the text, class_id and group_id of every row with a doc_id.
 
     class_id: the smallest doc_id with the same text; group_id: the smallest doc_id that is reached over texts of at
@@ -200,7 +257,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     )
     classes = signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints"))
     classes = settled(classes, "classes")
-    members = classes.where("prints IS NOT NULL").select("id", F.explode(band_keys()).alias("key"))
+    members = classes.where("prints IS NOT NULL").select("id", F.posexplode(band_keys()).alias("band", "key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = settled(members.join(crowded, "key"), "members")
 
@@ -231,22 +288,37 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
         pairs = crowd.select("key", "id").join(leaders.select("key", F.col("top.id").alias("leader")), "key").where("id <> leader")
         return pairs.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
 
-    def apart(group: DataFrame) -> DataFrame:
-        """Members of buckets with more than one component in them, with their components."""
-        placed = members.join(group, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        return settled(placed.join(mixed.select("key"), "key", "left_semi"), "apart")
+    def mixed(crowd: DataFrame) -> DataFrame:
+        """The rows of buckets with more than one component in them, and the buckets' sizes."""
+        of_key = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        return crowd.join(of_key.where("low <> high").select("key", "n"), "key")
+
+    def across(group: DataFrame) -> DataFrame:
+        """Pairs of one bucket but of different components, whose signatures are alike."""
+        placed = members.drop("n").join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        crowd = mixed(placed).join(prints.select("id", "prints"), "id").select("key", "band", "id", "component", "prints", "n")
+        crowd, depth, pairs = settled(crowd, "mixed"), 0, []
+        while depth < DEPTH and crowd.where(F.col("n") > bucket).take(1):
+            parts = crowd.where(F.col("n") > bucket).withColumn("key", F.explode(deeper_keys(depth))).withColumn("band", F.lit(-1))
+            crowd = settled(crowd.where(F.col("n") <= bucket).unionByName(mixed(parts.drop("n"))), "mixed")
+            depth += 1
+        if depth == DEPTH:
+            # Members that agree on all these coordinates and more: a leader is as good as any other member.
+            large = crowd.where(F.col("n") > bucket)
+            pairs = [led(large.select("key", "id", "n")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))]
+            crowd = crowd.where(F.col("n") <= bucket)
+        rows = crowd.drop("n").repartition(partitions(docs), "key").sortWithinPartitions("key", "id")
+        found = rows.mapInArrow(lambda b: _bucketed(b, ESTIMATE), "a LONG, b LONG")
+        for more in pairs:
+            found = found.union(more)
+        return found.distinct()
 
     tried = settled(led(members), "led")
     links = linked(tried)
     group = settled(components(links), "components")
-    left = apart(group)
-    if left.take(1):
-        mine = left.select("key", F.col("id").alias("a"), F.col("component").alias("of_a"))
-        other = left.select("key", F.col("id").alias("b"), F.col("component").alias("of_b"))
-        pairs = mine.join(other, "key").where("of_a <> of_b AND a < b").select("a", "b").distinct()
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        group = settled(components(links.union(linked(pairs.join(done, ["a", "b"], "left_anti")))), "components")
+    more = linked(across(group))
+    if more.take(1):
+        group = settled(components(links.union(more)), "components")
     of_class = classes.join(group, "id", "left").select("digest", "id", F.coalesce("component", "id").alias("group_id"))
     return signed.select("doc_id", "digest").join(of_class, "digest").select(
         "doc_id", "digest", F.col("id").alias("class_id"), "group_id"
