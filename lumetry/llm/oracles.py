@@ -30,3 +30,48 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+# DuckDB has no CRC-32; its table of 256 remainders is made here, and each byte of the id's text folded in.
+_CRC = """
+crc_table AS (
+  SELECT list(value ORDER BY byte) AS crcs
+  FROM (SELECT byte, list_reduce(list_prepend(CAST(byte AS BIGINT), range(0, 8)),
+          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS value
+        FROM (SELECT unnest(range(0, 256)) AS byte))),
+crc AS (
+  SELECT page_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(id, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, crcs[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT page_id, CAST(page_id AS VARCHAR) AS id FROM pages) CROSS JOIN crc_table)"""
+
+ORACLES["op2_merkle_fixity"] = f"""
+WITH {_CRC},
+archive AS (
+  SELECT page_id, html, CAST(floor(page_id / 4096.0) AS BIGINT) AS file,
+    strlen('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+      || CAST(page_id AS VARCHAR) || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+      || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10)
+      || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS length
+  FROM pages),
+placed AS (
+  SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset_
+  FROM archive)
+SELECT file, page_id AS record_id, offset_ AS "offset", CAST(length AS BIGINT) AS length, 'corrupt' AS status
+FROM placed JOIN crc USING (page_id)
+WHERE (crc % 97 = 0 AND length(html) > 0) OR (crc % 97 = 1 AND html <> repeat(' ', CAST(strlen(html) AS BIGINT)))
+"""
+
+ORACLES["op8_extendible_hashing"] = """
+WITH hashed AS (
+  SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash,
+    CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes
+  FROM documents),
+levels AS (
+  SELECT doc_id, n_bytes, hash, depth, hash >> (60 - depth) AS prefix,
+    sum(n_bytes) OVER (PARTITION BY depth, hash >> (60 - depth)) AS bucket
+  FROM hashed CROSS JOIN (SELECT unnest(range(0, 61)) AS depth)),
+chosen AS (SELECT doc_id, n_bytes, hash, min(depth) AS depth FROM levels WHERE bucket <= 1048576 OR depth = 60 GROUP BY ALL)
+SELECT doc_id, right(lpad(bin(hash), 60, '0')[1:depth], depth) AS shard, CAST(depth AS INTEGER) AS depth,
+  CAST(0 AS BIGINT) AS page, n_bytes
+FROM chosen
+"""

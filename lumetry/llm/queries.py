@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import cover_tree, decontamination, near_duplicates, packing, quality, substrings, token_files
+from . import cover_tree, decontamination, fixity, near_duplicates, packing, quality, sharding, substrings, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,18 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+@query
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audit of a replica of the pages' archive in which some records were damaged: by a changed character (1 of 97
+    pages, by a checksum of the id), or by a loss of content that left blanks (1 of 97)."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    chance = F.crc32(F.col("page_id").cast("string").cast("binary")) % 97
+    flipped = F.concat(F.when(F.substring("html", 1, 1) == "#", "%").otherwise("#"), F.expr("substring(html, 2)"))
+    lost = F.expr("repeat(' ', octet_length(html))")
+    damaged = F.when((chance == 0) & (F.length("html") > 0), flipped).when(chance == 1, lost).otherwise(F.col("html"))
+    return fixity.audit(fixity.records(pages), fixity.records(pages.withColumn("html", damaged)))
+
+
 @query
 def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -53,6 +65,11 @@ def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens"

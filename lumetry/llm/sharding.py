@@ -26,13 +26,6 @@ def hash_bits(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("long")
 
 
-def _prefix(depth: Column | int) -> Column:
-    """The first `depth` bits of the column hash."""
-    return F.call_function("shiftright", F.col("hash"), (F.lit(BITS) - depth).cast("int")) if isinstance(depth, Column) else (
-        F.shiftright("hash", BITS - depth)
-    )
-
-
 def directory(sizes: DataFrame, limit: int) -> tuple[DataFrame, int]:
     """The shards (depth, prefix, n_bytes) of rows (hash, n_bytes), and the greatest depth. Shards over the limit are at
     depth BITS only."""
@@ -40,7 +33,7 @@ def directory(sizes: DataFrame, limit: int) -> tuple[DataFrame, int]:
     low, depth = 0, min(BITS, max(0, ceil(log2(max(1, total / limit)))) + STEP)
     rows, found = sizes, []
     while True:
-        counted = settled(rows.groupBy(_prefix(depth).alias("deep")).agg(F.sum("n_bytes").alias("n_bytes")), "sizes")
+        counted = settled(rows.groupBy(F.shiftright("hash", BITS - depth).alias("deep")).agg(F.sum("n_bytes").alias("n_bytes")), "sizes")
         levels = counted.select("n_bytes", "deep", F.explode(F.sequence(F.lit(low), F.lit(depth))).alias("depth"))
         levels = levels.withColumn("prefix", F.expr(f"shiftright(deep, {depth} - depth)"))
         nodes = settled(levels.groupBy("depth", "prefix").agg(F.sum("n_bytes").alias("n_bytes")), "nodes")
@@ -54,7 +47,7 @@ def directory(sizes: DataFrame, limit: int) -> tuple[DataFrame, int]:
         large = nodes.where((F.col("depth") == depth) & (F.col("n_bytes") > limit))
         if depth == BITS or not large.take(1):
             break
-        rows = rows.withColumn("prefix", _prefix(depth)).join(large.select("prefix"), "prefix", "left_semi").select("hash", "n_bytes")
+        rows = rows.withColumn("prefix", F.shiftright("hash", BITS - depth)).join(large.select("prefix"), "prefix", "left_semi").select("hash", "n_bytes")
         low, depth = depth, min(BITS, depth + STEP)
     shards = found[0]
     for more in found[1:]:
@@ -88,7 +81,5 @@ def shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     number = F.monotonically_increasing_id()
     per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("largest"), F.lit(1))))
     page = F.when(F.col("largest").isNull(), F.lit(0)).otherwise(F.floor(number / per_page)).cast("long")
-    bits = F.when(F.col("lane") == 0, F.lit("")).otherwise(F.substring(F.lpad(F.conv(F.col("prefix"), 10, 2), BITS, "0"), -BITS, BITS))
     shard = F.expr(f"right(lpad(conv(prefix, 10, 2), {BITS}, '0'), lane)")
-    del bits
     return joined.select("doc_id", shard.alias("shard"), F.col("lane").cast("int").alias("depth"), page.alias("page"), "n_bytes")
