@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import TEMPLATES
+
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
@@ -75,3 +77,23 @@ SELECT doc_id, right(lpad(bin(hash), 60, '0')[1:depth], depth) AS shard, CAST(de
   CAST(0 AS BIGINT) AS page, n_bytes
 FROM chosen
 """
+
+_TEMPLATES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+
+ORACLES["op6_license_scan"] = f"""
+WITH templates(license, text) AS (VALUES {_TEMPLATES}),
+texts AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 't', license, text FROM templates),
+words AS (SELECT kind, id, regexp_extract_all(lower(text), '[a-z0-9]+') AS words FROM texts),
+shingles AS (
+  SELECT DISTINCT kind, id, words[k] || ' ' || words[k + 1] || ' ' || words[k + 2] AS shingle
+  FROM (SELECT kind, id, words, unnest(range(1, len(words) - 1)) AS k FROM words)),
+sizes AS (SELECT id AS license, count(*) AS n FROM shingles WHERE kind = 't' GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, t.id AS license, count(*) AS n_shared
+  FROM shingles d JOIN shingles t USING (shingle) WHERE d.kind = 'd' AND t.kind = 't' GROUP BY ALL)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, license, CAST(n_shared AS BIGINT) AS n_shared,
+  CAST(n_shared AS DOUBLE) / n AS containment
+FROM shared JOIN sizes USING (license) WHERE CAST(n_shared AS DOUBLE) / n >= 0.8
+"""

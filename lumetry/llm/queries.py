@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import cover_tree, decontamination, fixity, near_duplicates, packing, quality, sharding, substrings, token_files
+from . import cover_tree, decontamination, fixity, licenses, near_duplicates, packing, quality, sharding, substrings, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op5_gear_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", substrings.REMOVED, repeated.alias("repeated"), substrings.SPANS)
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
