@@ -1,22 +1,71 @@
-"""From raw documents to packed training sequences, in stages that are each written and read again."""
+"""From raw documents to packed training sequences, in stages that are each written and read again.
+
+A stage takes (spark, docs, sf_dir) and returns documents with the same columns; the last one returns pieces of
+sequences. n_chars follows the text where a stage changes it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumetry.llm import packing
-from lumetry.llm.common import settled, table
+from lumetry.llm import decontamination, near_duplicates, packing, quality, substrings
+from lumetry.llm.common import digest, importable, settled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """With n_chars as it is now, where there is that column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labels of documents that are not held out."""
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.accepted(docs, model, quality.THRESHOLD)
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id. Documents without an id stay."""
+    importable(spark)
+    found = near_duplicates.near_duplicates(docs)
+    gone = found.where("doc_id <> group_id").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    same = (docs["doc_id"] == F.col("__id")) & (digest(F.coalesce(docs["text"], F.lit(""))) == F.col("__digest"))
+    return docs.join(gone, same, "left_anti")
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that stand at an earlier place as well; those of which nothing is left go."""
+    importable(spark)
+    done = substrings.deduplicated(docs)
+    left = (F.col(substrings.REMOVED) == 0) | F.col("text").rlike("[0-9A-Za-z\\u0080-\\uffff]")
+    return _counted(done.where(left).select(*docs.columns))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words in any occurrence of a phrase of the benchmark; those of which nothing is left go."""
+    return _counted(decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 1024 ids, as pieces of documents."""
+    importable(spark)
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", packed)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good),
+    ("near_duplicates", different),
+    ("substrings", unrepeated),
+    ("decontamination", clean),
+    ("packing", packed),
+]
 
 ORACLE_SQL = None  # no SQL for the learned and the hashed stages; tests compare them with brute force
 
