@@ -28,8 +28,8 @@ from .graph import components
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4  # two texts of similarity 0.8 share no band with a probability of (1 - 0.8**4)**32 = 5e-8
-COORDINATES = 2 * BANDS * ROWS  # the bands take the first half; all are used to estimate similarities
-ESTIMATE = 0.7  # pairs whose signatures agree on less are not compared: for similarity 0.8, four standard deviations
+COORDINATES = 3 * BANDS * ROWS  # the bands take the first third; all are used to estimate similarities
+ESTIMATE = 0.73  # pairs whose signatures agree on less are not compared: for similarity 0.8, 3.4 standard deviations
 BUCKET = 4096  # members of different components that are compared in one task
 DEEPER, SPLITS, DEPTH = 6, 5, 6  # a larger bucket: coordinates added to its band, ways to do so, and times, at most
 BLOCK = 1 << 18  # characters handled at a time
