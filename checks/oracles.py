@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from lumetry.schemas import CITIES
+
+_CITY_NAMES = ", ".join(f"'{name}'" for name in CITIES.values())
+
 # Integer arithmetic on `id` as in payloads.py; `ic` is the current in hundredths.
 _METER = """
     select make_timestamp((1704067200 + {id} * 2) * 1000000) as date_time,
            cast({id} % 5 + 1 as varchar) as id,
-           (['Surabaya','Sidoarjo','Gresik','Malang','Pasuruan'])[{id} % 5 + 1] as city,
+           ([{cities}])[{id} % 5 + 1] as city,
            cast(200 + ({id} * 7) % 151 as integer) as p,
            cast(100 + ({id} * 13) % 101 as integer) as v,
            (200 * (200 + ({id} * 7) % 151) + 100 + ({id} * 13) % 101)
              // (2 * (100 + ({id} * 13) % 101)) as ic
     from {rows}
 """
-METER = _METER.format(id="event_id", rows="events")
+METER = _METER.format(id="event_id", rows="events", cities=_CITY_NAMES)
 ARRAY = _METER.format(
-    id="n", rows="(select event_id * 5 + k as n from events, (select unnest(range(5)) as k))"
+    id="n", rows="(select event_id * 5 + k as n from events, (select unnest(range(5)) as k))", cities=_CITY_NAMES
 )
 
 _READING = """
@@ -199,7 +203,16 @@ ORACLES: dict[str, str] = {
     "agg_cost_1m": _cost("1 minute"),
     "agg_cost_1h": _cost("1 hour"),
     "agg_cost_1d": _cost("1 day"),
-    "agg_cost_1m_rounded": _cost("1 minute"),
+    "agg_cost_1m_rounded": f"""
+        select time_bucket(interval '1 minute', ts) as "timestamp", cast(user_id % 20 as integer) as "DID",
+               'SN-' || (user_id % 20) as "DSN", ((sum(event_id % 2000) + 5) // 10)::double / 100 as total_cost
+        from events group by all
+    """,
+    "agg_cost_fine": f"""
+        select time_bucket(interval '1 hour', ts) as "timestamp", cast(user_id % 20 as integer) as "DID",
+               'SN-' || (user_id % 20) as "DSN", sum(event_id % 1000 + 1)::double / 10000000 as total_cost
+        from events group by all
+    """,
     "agg_cost_grains": _GRAINS,
     "str_window_offset": _cost(
         "1 day", bucket="time_bucket(interval '{grain}', ts - interval '17 hours') + interval '17 hours'"
@@ -219,7 +232,9 @@ ORACLES: dict[str, str] = {
         union all {_flow("cost_1d", "1 day")}
     """,
     "str_cost_cascade": _CASCADE,
+    "str_quarantine": f"select {_BAD} as status, count(*) as messages from events group by 1",
     "snk_summary_table": _cost("1 day"),
+    "snk_replayed_batch": _cost("1 day"),
     "snk_raw_documents": _device(time=_SECOND),
     "snk_parquet_append": _METER_TIMED,
     "set_union_all": f"""
@@ -227,6 +242,20 @@ ORACLES: dict[str, str] = {
         from ({_DEVICE_TEXT} union all {_DEVICE_TEXT}) d group by 1
     """,
     "ra_city_lookup": f"select {_TEXT} as date_time, id, city from ({METER}) m",
+    "ra_lamp_city": f'select "id_kWh", "timestamp", city from ({_LAMP}) l',
+    "ra_out_of_band_lamp_rate": f"""
+        select time_bucket(interval '1 hour', "timestamp") as "timestamp", city, count(*) as readings,
+               count(*) filter (watt < 40 or watt > 70) as out_of_band,
+               count(*) filter (watt < 40 or watt > 70) / count(*)::double as rate
+        from ({_LAMP}) l group by 1, 2
+    """,
+    "ra_array_quarantine": """
+        select 'malformed' as status, count(*) as messages, cast(0 as bigint) as with_id
+        from events where event_id % 97 = 0 or event_id % 101 = 0
+        union all
+        select status, count(*), count(*) from events cross join (values ('ok'), ('bad_fields')) s(status)
+        where event_id % 97 <> 0 and event_id % 101 <> 0 group by 1
+    """,
     "ra_derived_current": f"""
         select date_time, id, city, p as "P (watt)", v as "V (volt)",
                (ic + drift) / 100.0::double as "I (amphere)", ic / 100.0::double as derived_amphere,
@@ -257,3 +286,5 @@ ORACLES: dict[str, str] = {
     """,
     "ra_parse_lamp": _LAMP,
 }
+
+ORACLES["str_fan_out_landed"] = ORACLES["str_fan_out"]

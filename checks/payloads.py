@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumetry.sources import spread
+from lumetry.schemas import CITIES
 
+CITY_NAMES = ", ".join(f"'{name}'" for name in CITIES.values())
 METER_FIELDS = """
     'date_time', date_format(timestamp_seconds(1704067200 + {id} * 2), 'yyyy-MM-dd HH:mm:ss'),
     'id', cast({id} % 5 + 1 as string),
-    'city', element_at(array('Surabaya','Sidoarjo','Gresik','Malang','Pasuruan'), cast({id} % 5 + 1 as int)),
+    'city', element_at(array({cities}), cast({id} % 5 + 1 as int)),
     'P (watt)', cast(200 + ({id} * 7) % 151 as int),
     'V (volt)', cast(100 + ({id} * 13) % 101 as int),
     'I (amphere)', ({current}) / 100D
@@ -36,7 +37,7 @@ LAMP_FIELDS = """
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def meter_fields(event_id: str = "event_id", drift: str = "0") -> str:
     current = f"{CURRENT.format(id=event_id)} + {drift}"
-    return f"named_struct({METER_FIELDS.format(id=event_id, current=current)})"
+    return f"named_struct({METER_FIELDS.format(id=event_id, current=current, cities=CITY_NAMES)})"
 
 
 def meter(rows: DataFrame, drift: str = "0") -> DataFrame:
@@ -87,6 +88,18 @@ def device_with_bad_messages(rows: DataFrame) -> DataFrame:
     )
 
 
+def device_arrays(rows: DataFrame) -> DataFrame:
+    """An array of a good element and one with a power figure that is no number; some messages are no JSON or broken off."""
+    good = f"to_json({device_fields()})"
+    odd = "regexp_replace({}, '\"KPWR\":[0-9]+', '\"KPWR\":\"?\"')".format(good)
+    return rows.select(
+        F.expr(
+            f"""case when event_id % 97 = 0 then 'not json' when event_id % 101 = 0 then concat('[', {good}, ',')
+                     else concat('[', {good}, ',', {odd}, ']') end"""
+        ).alias("value")
+    )
+
+
 def lamp(rows: DataFrame) -> DataFrame:
     return rows.select(F.expr(f"to_json(named_struct({LAMP_FIELDS}))").alias("value"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from lumetry.functions import (
     METER_MEASURES,
     device_costs,
     device_readings,
+    elements,
     event_time,
     lamp_readings,
     meter_readings,
@@ -31,6 +32,7 @@ from lumetry.operators import (
     cost_summary,
     drop_resent,
     grown,
+    lamp_cities,
     latest_revision,
     meter_summary,
     out_of_band_rate,
@@ -41,7 +43,7 @@ from lumetry.operators import (
     with_out_of_band,
 )
 from lumetry.operators.summaries import BY_CITY, BY_DEVICE, BY_METER, meter_report, window_text, windowed_sums
-from lumetry.plans import PIPELINES, cost_cascade
+from lumetry.plans import PIPELINES, cost_cascade, landed_costs
 from lumetry.schemas import (
     CITIES,
     COST_SUMMARY,
@@ -49,6 +51,7 @@ from lumetry.schemas import (
     DEVICE_FLOAT,
     DEVICE_INT,
     LAMP_BAND,
+    LAMP_CITIES,
     METER,
     METER_SUMMARY,
 )
@@ -68,7 +71,12 @@ DEVICE_KEYS = ("timestamp", *BY_DEVICE)
 def registered(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(prepare(spark), sf_dir)
+        prepare(spark)
+        context = spark.sparkContext
+        if context.master.startswith("local") and not context.getConf().contains("spark.sql.shuffle.partitions"):
+            # One machine, nothing chosen: 200 state stores for each aggregate would take longer than the check.
+            spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
+        return query(spark, sf_dir)
 
     QUERIES[query.__name__] = run
     return run
@@ -115,7 +123,9 @@ def revised(spark: SparkSession, flow: Flow, schema: str) -> DataFrame:
 
 @registered
 def src_message_stream(spark, sf_dir):
-    return shown(appended(spark, device_readings(P.device(P.event_stream(spark, sf_dir)))))
+    landing = shared_folder(spark)
+    P.device(P.events(spark, sf_dir)).write.text(landing)
+    return shown(appended(spark, device_readings(landed_messages(spark, landing, maxFilesPerTrigger="1"))))
 
 
 @registered
@@ -266,8 +276,8 @@ def agg_city_5m(spark, sf_dir):
     return meter_summary(meter_readings(P.meter(P.events(spark, sf_dir))), "5 minutes", BY_CITY)
 
 
-def _cost(spark: SparkSession, sf_dir: str, grain: str, **options) -> DataFrame:
-    return shown(cost_summary(device_costs(P.device(P.events(spark, sf_dir))), grain, **options))
+def _cost(spark: SparkSession, sf_dir: str, grain: str, cost: str = "value", **options) -> DataFrame:
+    return shown(cost_summary(device_costs(P.device(P.events(spark, sf_dir), cost)), grain, **options))
 
 
 @registered
@@ -287,7 +297,14 @@ def agg_cost_1d(spark, sf_dir):
 
 @registered
 def agg_cost_1m_rounded(spark, sf_dir):
-    return _cost(spark, sf_dir, "1 minute", digits=2)
+    """Costs of three decimals, so that there is something to round, and ties."""
+    return _cost(spark, sf_dir, "1 minute", "(event_id % 2000) / 1000D", digits=2)
+
+
+@registered
+def agg_cost_fine(spark, sf_dir):
+    """Costs of seven decimals, the least of them a ten-millionth."""
+    return _cost(spark, sf_dir, "1 hour", "(event_id % 1000 + 1) / 10000000D")
 
 
 @registered
@@ -373,6 +390,31 @@ def str_fan_out(spark, sf_dir):
         for flow in PIPELINES["raw_and_cost"](P.device(P.event_stream(spark, sf_dir)))
     }
     run_available(flows, f"{folder}/checkpoint")
+    return _counted(spark, folder, flows)
+
+
+@registered
+def str_fan_out_landed(spark, sf_dir):
+    """The same tables with each message parsed once: the grains read what the raw flow landed."""
+    folder = shared_folder(spark)
+    flows = landed_costs(spark, P.device(P.event_stream(spark, sf_dir)), folder)
+    for flow, sink in flows:
+        run_available({flow: sink}, f"{folder}/checkpoint")
+    return _counted(spark, folder, [flow for flow, _ in flows])
+
+
+@registered
+def str_quarantine(spark, sf_dir):
+    """Good and bad messages as two flows; one row per table."""
+    folder = shared_folder(spark)
+    flows = PIPELINES["checked_device"](P.device_with_bad_messages(P.event_stream(spark, sf_dir)))
+    run_available({flow: parquet(f"{folder}/{flow.name}") for flow in flows}, f"{folder}/checkpoint")
+    good, bad = (spark.read.schema(f.frame.schema).parquet(f"{folder}/{f.name}") for f in flows)
+    good = good.groupBy(F.lit("ok").alias("status")).agg(F.count("*").alias("messages"))
+    return good.unionByName(bad.groupBy("status").agg(F.count("*").alias("messages")))
+
+
+def _counted(spark: SparkSession, folder: str, flows: Iterable[Flow]) -> DataFrame:
     counted = []
     for flow in flows:
         if flow.mode == "update":
@@ -411,6 +453,18 @@ def snk_summary_table(spark, sf_dir):
     return shown(table.drop("batch_id"))
 
 
+@registered
+def snk_replayed_batch(spark, sf_dir):
+    """All batches written, and written again from a new checkpoint."""
+    folder = shared_folder(spark)
+    readings = device_costs(P.device(P.event_stream(spark, sf_dir)))
+    for attempt in range(2):
+        flow = Flow("cost_1d", cost_summary(readings, "1 day", "1 day"), "update")
+        run_available({flow: revisions(f"{folder}/revisions")}, f"{folder}/checkpoint_{attempt}")
+    table = compact(spark, f"{folder}/revisions", f"{folder}/summary", COST_SUMMARY, DEVICE_KEYS)
+    return shown(table.drop("batch_id"))
+
+
 @registered
 def snk_raw_documents(spark, sf_dir):
     folder = shared_folder(spark)
@@ -446,6 +500,26 @@ def ra_city_lookup(spark, sf_dir):
     return shown(with_city(readings, cities).select("date_time", "id", "city"))
 
 
+@registered
+def ra_lamp_city(spark, sf_dir):
+    rows = [{"city": c, "meters": meters} for c, meters in LAMP_CITIES.items()]
+    cities = lamp_cities(table_of(spark, rows, "city STRING, meters ARRAY<INT>"))
+    readings = lamp_readings(P.lamp(P.events(spark, sf_dir))).drop("city")
+    return shown(with_city(readings, cities, "id_kWh", "id_kWh").select("id_kWh", "timestamp", "city"))
+
+
+@registered
+def ra_out_of_band_lamp_rate(spark, sf_dir):
+    readings = lamp_readings(P.lamp(P.events(spark, sf_dir)))
+    return shown(out_of_band_rate(readings, "1 hour", BY_CITY, "timestamp", "watt", LAMP_BAND))
+
+
+@registered
+def ra_array_quarantine(spark, sf_dir):
+    parsed = with_parse_status(elements(P.device_arrays(P.events(spark, sf_dir))), DEVICE_INT)
+    return parsed.groupBy("status").agg(F.count("*").alias("messages"), F.count("ID").alias("with_id"))
+
+
 @registered
 def ra_derived_current(spark, sf_dir):
     messages = P.meter(P.events(spark, sf_dir), drift="if(event_id % 7 = 0, 3, 0)")

@@ -6,26 +6,32 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import PIPELINES
+from .plans import PIPELINES, landed_costs
 from .session import build_session
 from .sinks import console, document_store, documents, jdbc_revisions, parquet, revisions
 from .sinks.tables import Sink
 from .sources import kafka_messages, landed_messages, socket_messages
-from .streaming import Flow, await_any, start
+from .streaming import Flow, await_any, run_available, start
+
+LANDED = "landed_costs"
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lumetry", description="Telemetry summaries on Spark")
-    parser.add_argument("pipeline", choices=sorted(PIPELINES))
+    parser.add_argument("pipeline", choices=sorted([*PIPELINES, LANDED]))
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", metavar="HOST:PORT[,...]")
     source.add_argument("--socket", metavar="HOST:PORT")
     source.add_argument("--files", metavar="FOLDER", help="text files with one message per line")
     parser.add_argument("--topic", help="Kafka topic")
+    source_help = "for the source, e.g. minPartitions, maxOffsetsPerTrigger, maxBytesPerTrigger, kafka.security.protocol"
+    parser.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE", help=source_help)
     parser.add_argument("--starting", choices=["latest", "earliest"], default="latest")
-    parser.add_argument("--table", metavar="FOLDER", help="write tables below this folder instead of the console")
+    parser.add_argument("--table", metavar="FOLDER", help="write tables below this folder")
     parser.add_argument("--jdbc", metavar="URL", help="write summaries to tables named after their flow")
     parser.add_argument("--driver", help="JDBC driver class")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="for the JDBC writer")
+    parser.add_argument("--console", action="store_true", help="show what has no other sink; for trials")
     parser.add_argument("--raw-connector", help="write raw readings through a document-store connector, e.g. mongodb")
     parser.add_argument("--raw-option", action="append", default=[], metavar="KEY=VALUE", help="for that connector")
     parser.add_argument("--checkpoint", required=True, help="folder that all executors share")
@@ -34,45 +40,63 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parsed = parser.parse_args(argv)
     if parsed.kafka and not parsed.topic:
         parser.error("--kafka needs --topic")
+    if parsed.pipeline == LANDED and not parsed.table:
+        parser.error(f"{LANDED} needs --table")
     return parsed
 
 
+def _options(given: list[str]) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in given)
+
+
 def messages_of(spark: SparkSession, chosen: argparse.Namespace) -> DataFrame:
+    options = _options(chosen.source_option)
     if chosen.kafka:
-        return kafka_messages(spark, chosen.kafka.split(","), chosen.topic, chosen.starting)
+        # A store that writes by id needs to know one message from another.
+        position = bool(chosen.raw_connector)
+        return kafka_messages(spark, chosen.kafka.split(","), chosen.topic, chosen.starting, position=position, **options)
     if chosen.socket:
         host, port = chosen.socket.rsplit(":", 1)
         return socket_messages(spark, host, int(port))
-    return landed_messages(spark, chosen.files)
+    return landed_messages(spark, chosen.files, **options)
 
 
 def sink_of(flow: Flow, chosen: argparse.Namespace) -> Sink:
     raw = flow.name.startswith("raw")
     if chosen.raw_connector and raw:
-        return document_store(chosen.raw_connector, **dict(o.split("=", 1) for o in chosen.raw_option))
+        key = [c for c in ("topic", "partition", "offset") if flow.frame is not None and c in flow.frame.columns]
+        return document_store(chosen.raw_connector, key, **_options(chosen.raw_option))
     if chosen.jdbc and not raw:
         options = {"driver": chosen.driver} if chosen.driver else {}
-        return jdbc_revisions(chosen.jdbc, flow.name, **options)
+        return jdbc_revisions(chosen.jdbc, flow.name, **options, **_options(chosen.jdbc_option))
     if chosen.table:
         path = f"{chosen.table.rstrip('/')}/{flow.name}"
         if flow.mode == "update":
             return revisions(path)
         return documents(path) if raw else parquet(path)
-    return console()
+    if chosen.console:
+        return console()
+    raise SystemExit(f"{flow.name} has no sink: give --table, --jdbc or --raw-connector, or --console to look at it")
 
 
 def main(argv: list[str] | None = None) -> None:
     chosen = arguments(argv)
     spark = build_session("lumetry")
-    queries = []
-    for flow in PIPELINES[chosen.pipeline](messages_of(spark, chosen)):
-        flow = flow._replace(every=chosen.every or flow.every)
-        queries.append(start(flow, sink_of(flow, chosen), chosen.checkpoint, chosen.available_now))
-    if chosen.available_now:
-        for query in queries:
-            query.awaitTermination()
+    # Pipelines share names of flows, so each has a folder of its own below the checkpoint.
+    checkpoint = f"{chosen.checkpoint.rstrip('/')}/{chosen.pipeline}"
+    messages = messages_of(spark, chosen)
+    if chosen.pipeline == LANDED:
+        pairs = landed_costs(spark, messages, chosen.table.rstrip("/"))
+    else:
+        pairs = [(flow, sink_of(flow, chosen)) for flow in PIPELINES[chosen.pipeline](messages)]
+    flows = {flow._replace(every=chosen.every or flow.every): sink for flow, sink in pairs}
+    if chosen.available_now and chosen.pipeline == LANDED:
+        for flow, sink in flows.items():  # the grains read what the first flow landed
+            run_available({flow: sink}, checkpoint)
+    elif chosen.available_now:
+        run_available(flows, checkpoint)
     else:
-        await_any(spark, queries)
+        await_any([start(flow, sink, checkpoint) for flow, sink in flows.items()])
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@ from .measures import METER_MEASURES, COST, Measure
 from .parsing import (
     device_costs,
     device_readings,
+    elements,
     event_time,
     lamp_readings,
     meter_readings,
@@ -21,6 +22,7 @@ __all__ = [
     "Measure",
     "device_costs",
     "device_readings",
+    "elements",
     "event_time",
     "lamp_readings",
     "meter_readings",

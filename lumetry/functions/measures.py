@@ -1,17 +1,21 @@
 """Sums and means that come out the same whatever the order in which partitions are added up.
 
 Fractional readings are added as the decimals the sender wrote, not as binary fractions, so 0.1 + 0.2 is 0.3 and a
-stream, a batch and a roll-up of either agree to the last digit. A reading is added in one of three ways:
+stream, a batch and a roll-up of either agree to the last digit. A reading is added in one of four ways:
 
 - `hundredths`: up to two decimals and below `HUNDREDTHS_BELOW`, as nearly all readings; integers, which is fast;
 - `sum`: up to six decimals, by way of its text;
-- `rest`: what no such decimal can hold (from 10^12 up, NaN, infinity), as a double, so that no reading is lost.
+- `fine`: up to eighteen decimals and below 10^6, by way of its text;
+- `rest`: what none of these holds unchanged (1e-30, 10^12 and up, NaN, infinity), as a double.
+
+So no reading is rounded before it is added: a decimal takes a reading only if it gives the same reading back.
 
 A measure is kept as these sums and the count `n`; unlike means, they add up across windows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -19,13 +23,21 @@ from pyspark.sql import functions as F
 
 READING = "decimal(18,6)"
 TOTAL = "decimal(28,6)"
+FINE = "decimal(24,18)"
+FINE_TOTAL = "decimal(34,18)"
 # Keeps the integer sum of 9 * 10^11 readings in one group below the limit of a BIGINT.
 HUNDREDTHS_BELOW = 100_000
 
 
-def exact(value: str) -> str:
-    """SQL for a float or double as the decimal it is written as; NULL where it does not fit."""
-    return f"try_cast(cast({value} AS string) AS {READING})"
+def unchanged(value: str, kind: str, decimal: str = READING) -> str:
+    """SQL for a float or double as the decimal it is written as; NULL where that would change it."""
+    written = f"try_cast(cast({value} AS string) AS {decimal})"
+    return f"CASE WHEN cast({written} AS {kind}) = {value} THEN {written} END"
+
+
+def exact(value: str, kind: str = "double") -> str:
+    """SQL for a float or double as the decimal it is written as, of up to eighteen places; NULL where none holds it."""
+    return f"coalesce(cast({unchanged(value, kind)} AS {FINE_TOTAL}), {unchanged(value, kind, FINE)})"
 
 
 class Measure(NamedTuple):
@@ -40,7 +52,7 @@ class Measure(NamedTuple):
         """Columns that hold the partial sums, and their types."""
         types = {"sum": "BIGINT", "n": "BIGINT"}
         if self.kind:
-            types = {"hundredths": "BIGINT", "sum": "DECIMAL(28,6)", "rest": "DOUBLE", "n": "BIGINT"}
+            types = {"hundredths": "BIGINT", "sum": TOTAL, "fine": FINE_TOTAL, "rest": "DOUBLE", "n": "BIGINT"}
         return {f"{self.name}_{part}": kind for part, kind in types.items()}
 
     def partials(self) -> list[Column]:
@@ -51,10 +63,14 @@ class Measure(NamedTuple):
             hundredths = f"try_cast(rint(double({value}) * 100) AS bigint)"
             short = f"(abs({value}) < {HUNDREDTHS_BELOW} AND cast({hundredths} / 100D AS {self.kind}) = {value})"
             other = f"CASE WHEN NOT {short} THEN {value} END"
+            six = unchanged(other, self.kind)
+            more = f"CASE WHEN {six} IS NULL THEN {other} END"
+            fine = unchanged(more, self.kind, FINE)
             sums = [
                 f"sum(CASE WHEN {short} THEN {hundredths} END)",
-                f"sum({exact(other)})",
-                f"sum(CASE WHEN {exact(other)} IS NULL THEN double({other}) END)",
+                f"sum({six})",
+                f"sum({fine})",
+                f"sum(CASE WHEN {fine} IS NULL THEN double({more}) END)",
                 f"count({value})",
             ]
         return [F.expr(total).alias(part) for total, part in zip(sums, self.parts, strict=True)]
@@ -67,31 +83,41 @@ class Measure(NamedTuple):
         """The sum, rounded half up if `digits` is given."""
         if not self.kind:
             return F.col(f"{self.name}_sum")
-        return F.expr(self._settled(self._decimal(), self._double(), digits))
+        return F.expr(self._settled(lambda decimal: decimal, self._double(), digits))
 
     def mean(self, digits: int = 2) -> Column:
         """The mean of the readings that are present, rounded half up."""
         n = f"{self.name}_n"
-        mean = f"try_divide({self._decimal()}, cast({n} AS decimal(20,0)))"
+
+        def mean(decimal: str) -> str:
+            return f"try_divide({decimal}, cast({n} AS decimal(20,0)))"
+
         if not self.kind:
-            return F.expr(f"double(round({mean}, {digits}))")
+            return F.expr(f"double(round({mean(self._coarse())}, {digits}))")
         return F.expr(self._settled(mean, f"({self._double()}) / {n}", digits))
 
-    def _decimal(self) -> str:
+    def _coarse(self) -> str:
+        """The sum of what has up to six decimals."""
         total = f"{self.name}_sum"
         if not self.kind:
             return f"cast({total} AS {TOTAL})"
         hundredths = f"cast({self.name}_hundredths AS decimal(20,0)) * 0.01BD"
         return f"cast(coalesce({hundredths} + coalesce({total}, 0), {total}) AS {TOTAL})"
 
+    def _fine(self) -> str:
+        """The sum of all decimals; NULL without finer ones, and where they vanish beside a sum of 10^19 or more."""
+        return f"(try_cast(coalesce({self._coarse()}, 0) AS decimal(37,18)) + {self.name}_fine)"
+
     def _double(self) -> str:
-        return f"coalesce(double({self._decimal()}), 0D) + {self.name}_rest"
+        return f"coalesce(double({self._fine()}), double({self._coarse()}), 0D) + {self.name}_rest"
 
-    def _settled(self, decimal: str, double: str, digits: int | None) -> str:
+    def _settled(self, shape: Callable[[str], str], double: str, digits: int | None) -> str:
         """The decimal result, or the double one if a reading had to be added as a double."""
+        coarse, fine = shape(self._coarse()), shape(self._fine())
         if digits is not None:
-            decimal, double = f"round({decimal}, {digits})", f"round({double}, {digits})"
-        return f"CASE WHEN {self.name}_rest IS NULL THEN double({decimal}) ELSE {double} END"
+            coarse, fine, double = (f"round({value}, {digits})" for value in (coarse, fine, double))
+        decimal = f"coalesce(double({fine}), double({coarse}))"
+        return f"CASE WHEN {self.name}_rest IS NULL THEN {decimal} ELSE {double} END"
 
 
 METER_MEASURES = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,25 +15,45 @@ def payload_text(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("value"))
 
 
+def position(messages: DataFrame) -> list[str]:
+    """The columns that tell messages apart, where the source kept them."""
+    return [c for c in ("topic", "partition", "offset") if c in messages.columns]
+
+
 def nonempty(messages: DataFrame) -> DataFrame:
     """Skip messages without a body."""
     return messages.where(F.col("value").isNotNull() & (F.length("value") > 0))
 
 
-def parse(messages: DataFrame, schema: str) -> DataFrame:
+def elements(messages: DataFrame) -> DataFrame:
+    """A message per element of messages that hold a JSON array; every other message, good or bad, stays as it is.
+
+    Give these to `parse` or `with_parse_status`: no message disappears but an array without elements.
+    """
+    text = F.col("value").cast("string")
+    parts = F.from_json(text, "ARRAY<STRING>")
+    array = F.startswith(F.ltrim(text), F.lit("[")) & parts.isNotNull()
+    return messages.select(F.explode(F.when(array, parts).otherwise(F.array(text))).alias("value"))
+
+
+def parse(messages: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """One flat row per message. Text that is no JSON gives a row of NULLs, a field of the wrong type a NULL.
 
     The struct passes through `inline` because a filter on parsed fields would otherwise be pushed below the
     projection and parse every message a second time. Declare only the fields that are used: others are skipped.
+    Columns of the messages named in `keep`, such as their offsets, come along.
     """
     text = F.col("value").cast("string")
-    return messages.select(F.inline(F.array(F.from_json(text, schema))))
+    return messages.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
 def parse_array(messages: DataFrame, schema: str) -> DataFrame:
-    """One row per element of messages that hold a JSON array; a single object counts as an array of one."""
+    """One row per element of messages that hold a JSON array; a single object counts as an array of one.
+
+    A message that is neither gives a row of NULLs, as with `parse`, and so does an array without elements.
+    """
     text = F.col("value").cast("string")
-    return messages.select(F.inline(F.from_json(text, f"ARRAY<STRUCT<{schema}>>")))
+    return messages.select(F.inline_outer(F.from_json(text, f"ARRAY<STRUCT<{schema}>>")))
 
 
 def event_time(text: Column | str) -> Column:
@@ -48,9 +70,9 @@ def meter_readings(messages: DataFrame) -> DataFrame:
     return timed(parse(messages, METER), "date_time")
 
 
-def device_readings(messages: DataFrame, schema: str = DEVICE_FLOAT) -> DataFrame:
+def device_readings(messages: DataFrame, schema: str = DEVICE_FLOAT, keep: Sequence[str] = ()) -> DataFrame:
     """Device readings. The default schema reads whole and broken power figures alike."""
-    return timed(parse(messages, schema), "STIME")
+    return timed(parse(messages, schema, keep), "STIME")
 
 
 def device_costs(messages: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-from .lookup import with_city
+from .lookup import lamp_cities, with_city
 from .quality import drop_resent, out_of_band_rate, with_derived_current, with_out_of_band
 from .revisions import latest_revision
 from .summaries import (
@@ -15,6 +15,7 @@ __all__ = [
     "cost_summary",
     "drop_resent",
     "grown",
+    "lamp_cities",
     "latest_revision",
     "meter_summary",
     "out_of_band_rate",

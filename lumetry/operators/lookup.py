@@ -5,30 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
+def with_city(readings: DataFrame, cities: DataFrame, key: str = "id", other: str = "id") -> DataFrame:
+    """Readings with the columns of a city table that has one row per `other`, matched by the readings' `key`.
 
-def with_city(readings: DataFrame, cities: DataFrame, key: str = "id") -> DataFrame:
-    """Inner join of readings with a city table that has one row per `key`.
-
-    A table within `BROADCAST_ROWS` and `BROADCAST_BYTES` (measured, not assumed) goes to every executor and the
-    readings stay where they are. A larger one is joined on the key plus a salt: its rows are repeated once per salt,
-    so the readings of one busy key spread over `SALTS` tasks.
+    A reading with an unknown key stays, with NULLs. A plain join: Spark sends a table that is small by its statistics
+    to the readings, and splits the readings of a busy key where it shuffles both.
     """
-    if _is_small(cities):
-        return readings.join(F.broadcast(cities), key)
-    fields = [F.col(f"`{c}`") for c in readings.columns]
-    salted = readings.withColumn("_salt", F.pmod(F.xxhash64(*fields), F.lit(SALTS)).cast("int"))
-    repeated = cities.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+    known = cities.withColumnRenamed(other, "_key")
+    return readings.join(known, readings[key] == known["_key"], "left").drop("_key")
 
 
-def _is_small(table: DataFrame) -> bool:
-    width = F.length(F.to_json(F.struct("*")))
-    size = table.limit(BROADCAST_ROWS + 1).agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    )
-    measured = size.first()
-    return measured["rows"] <= BROADCAST_ROWS and measured["bytes"] <= BROADCAST_BYTES
+def lamp_cities(cities: DataFrame) -> DataFrame:
+    """One row per meter from a table with one row per city and an array of its `meters`."""
+    return cities.select(F.explode("meters").alias("id_kWh"), "city")

@@ -17,7 +17,7 @@ def with_derived_current(readings: DataFrame) -> DataFrame:
     Both are NULL where a figure is missing or the voltage is zero.
     """
     watt, volt = "cast(`P (watt)` AS decimal(10,0))", "cast(`V (volt)` AS decimal(10,0))"
-    off = f"abs({exact('`I (amphere)`')} * {volt} - {watt})"
+    off = f"abs({exact('`I (amphere)`', 'float')} * {volt} - {watt})"
     return readings.withColumns(
         {
             "derived_amphere": F.expr(f"double(round(try_divide({watt}, {volt}), 2))"),

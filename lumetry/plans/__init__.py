@@ -1,3 +1,3 @@
-from .pipelines import PIPELINES, cost_cascade
+from .pipelines import PIPELINES, cost_cascade, landed_costs
 
-__all__ = ["PIPELINES", "cost_cascade"]
+__all__ = ["PIPELINES", "cost_cascade", "landed_costs"]

@@ -1,7 +1,8 @@
 """The pipelines, from messages to the flows a runner starts.
 
 Each flow reads the messages by itself and has its own checkpoint, so one that fails does not hold up the others.
-`cost_cascade` is the other shape: the messages are read once and each grain reads the table of the one below.
+`landed_costs` and `cost_cascade` are other shapes: the messages are read once, and each grain reads the landed readings,
+or the table of the grain below. The cascade keeps minutes open for a day; the landed readings cost a table instead.
 """
 
 from __future__ import annotations
@@ -12,28 +13,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import COST
-from ..functions.parsing import device_costs, device_readings, meter_readings, parse
+from ..functions.parsing import (
+    device_costs,
+    device_readings,
+    elements,
+    lamp_readings,
+    meter_readings,
+    parse,
+    position,
+    timed,
+    with_parse_status,
+)
+from ..operators.quality import out_of_band_rate
 from ..operators.summaries import (
     BY_CITY,
     BY_DEVICE,
+    COST_GRAINS,
     cost_summary,
     meter_summary,
     rollup_of_means,
     windowed_sums,
 )
-from ..schemas import METER
-from ..sinks.tables import create_if_missing, parquet
+from ..schemas import DEVICE_FLOAT, LAMP_BAND, METER
+from ..sinks.tables import Sink, create_if_missing, parquet, revisions
 from ..streaming.runner import Flow, run_available
 
 
 def raw_meter(messages: DataFrame) -> list[Flow]:
     """Parsed meter readings as they come."""
-    return [Flow("raw_meter", parse(messages, METER))]
+    return [Flow("raw_meter", parse(messages, METER, position(messages)))]
 
 
 def raw_device(messages: DataFrame) -> list[Flow]:
     """Parsed device readings as they come."""
-    return [Flow("raw_device", device_readings(messages))]
+    return [Flow("raw_device", device_readings(messages, keep=position(messages)))]
 
 
 def meter_1m(messages: DataFrame) -> list[Flow]:
@@ -72,6 +85,23 @@ def cost(messages: DataFrame) -> list[Flow]:
     ]
 
 
+def lamp(messages: DataFrame) -> list[Flow]:
+    """Lamp readings as they come, and per minute and city the share of those outside the usual power range."""
+    readings = lamp_readings(messages)
+    rate = out_of_band_rate(readings, "1 minute", BY_CITY, "timestamp", "watt", LAMP_BAND, delay="1 minute")
+    return [Flow("raw_lamp", readings), Flow("lamp_band_1m", rate, "append", "60 seconds")]
+
+
+def checked_device(messages: DataFrame) -> list[Flow]:
+    """Device readings that are as they should be, and all other messages with what is wrong with them.
+
+    Messages may hold arrays. Every element goes to one of the two.
+    """
+    checked = with_parse_status(elements(messages), DEVICE_FLOAT)
+    good = timed(checked.where("status = 'ok'").drop("value", "status"), "STIME")
+    return [Flow("raw_checked", good), Flow("raw_quarantine", checked.where("status <> 'ok'").select("value", "status"))]
+
+
 def raw_and_cost(messages: DataFrame) -> list[Flow]:
     """Device readings as documents, and their cost per grain."""
     return [*raw_device(messages), *cost(messages)]
@@ -86,9 +116,30 @@ PIPELINES: dict[str, Callable[[DataFrame], list[Flow]]] = {
     "cost_1m_rounded": cost_1m_rounded,
     "cost": cost,
     "raw_and_cost": raw_and_cost,
+    "lamp": lamp,
+    "checked_device": checked_device,
 }
 
 
+def landed_costs(spark: SparkSession, messages: DataFrame, path: str) -> list[tuple[Flow, Sink]]:
+    """Device readings and their cost per minute, hour and day, with every message parsed once.
+
+    The raw flow lands typed Parquet below `path`; each grain reads the four columns it needs of that and keeps windows
+    open for a time of its own, so state is as small as with separate readers. Start all of them together, or the raw flow
+    first over what is there.
+    """
+    readings = device_readings(messages)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema)
+    create_if_missing(spark, f"{path}/raw_device", ddl)
+    landed = spark.readStream.schema(ddl).option("maxFileAge", "3650d").parquet(f"{path}/raw_device")
+    columns = landed.select("STIME", *BY_DEVICE, "COST")
+    flows: list[tuple[Flow, Sink]] = [(Flow("raw_device", readings), parquet(f"{path}/raw_device"))]
+    for name, grain in COST_GRAINS.items():
+        flow = Flow(f"cost_{name}", cost_summary(columns, grain, grain), "update", grain)
+        flows.append((flow, revisions(f"{path}/cost_{name}")))
+    return flows
+
+
 def cost_cascade(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str) -> dict[str, DataFrame]:
     """Closed cost windows per minute, hour and day, with the messages read and parsed once.
 

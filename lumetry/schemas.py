@@ -25,10 +25,6 @@ LAMP_BAND = (40, 70)
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # Summary tables. Totals are wider than the readings they add up (INT -> BIGINT, FLOAT -> DOUBLE).
-CITY_SUMMARY = """
-    timestamp STRING, city STRING, total_watt BIGINT, total_volt BIGINT, total_amphere DOUBLE,
-    avg_watt DOUBLE, avg_volt DOUBLE, avg_amphere DOUBLE
-"""
 METER_SUMMARY = """
     timestamp STRING, id STRING, city STRING, total_watt BIGINT, total_volt BIGINT, total_amphere DOUBLE,
     avg_watt DOUBLE, avg_volt DOUBLE, avg_amphere DOUBLE

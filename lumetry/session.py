@@ -32,10 +32,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on to a session somebody else built."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        # A single machine left at the cluster default would open 200 state stores per aggregate.
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 

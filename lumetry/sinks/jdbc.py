@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,23 +32,30 @@ def jdbc_options(
     return {**chosen, **options}
 
 
-def jdbc_rows(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Summary rows as they go into a table: with a `batch_id`, and the window start as a zone-less date and time."""
+def jdbc_rows(batch: DataFrame, batch_id: int, run_id: int = 0) -> DataFrame:
+    """Summary rows as they go into a table: with `batch_id` and `run_id`, and the window start as a zone-less date and time."""
     return batch.withColumns(
-        {"timestamp": F.col("timestamp").cast("timestamp_ntz"), "batch_id": F.lit(batch_id).cast("bigint")}
+        {
+            "timestamp": F.col("timestamp").cast("timestamp_ntz"),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "run_id": F.lit(run_id).cast("bigint"),
+        }
     )
 
 
 def jdbc_revisions(url: str, table: str, connections: int = 8, **options: str) -> Sink:
-    """Append what each batch changed, with its `batch_id`. The first batch creates the table.
+    """Append what each batch changed, with its `batch_id` and the `run_id` of this start. The first batch creates the table.
 
-    The executors insert; nothing passes through the driver. Spark commits per task, so a batch that fails halfway
-    leaves rows which its second run repeats with the same id: read the table through `latest_revision`.
+    The executors insert; nothing passes through the driver. The batch is dealt out anew for the connections, or the
+    writer would have the whole aggregate run in as few tasks. Spark commits per task, so a batch that fails halfway
+    leaves rows which its second run repeats; a new checkpoint counts batches from 0, in a later run. So read the table
+    through `latest_revision`, which puts runs before batches.
     """
+    run_id = int(time.time())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         chosen = jdbc_options(url, table, batch.columns, connections, **options)
-        jdbc_rows(batch, batch_id).write.format("jdbc").options(**chosen).mode("append").save()
+        jdbc_rows(batch, batch_id, run_id).repartition(connections).write.format("jdbc").options(**chosen).mode("append").save()
 
     def setup(writer: DataStreamWriter) -> DataStreamWriter:
         return writer.foreachBatch(write)

@@ -10,12 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.revisions import latest_revision
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
+FILES = 8  # that a batch of revisions writes
+
 
 def console(truncate: bool = False) -> Sink:
     return lambda writer: writer.format("console").option("truncate", truncate)
@@ -44,26 +47,32 @@ def _files(kind: str, path: str, partition_by: Sequence[str]) -> Sink:
     return setup
 
 
-def document_store(connector: str, **options: str) -> Sink:
-    """Append rows as documents through a Spark connector, e.g. `mongodb`, which makes the collection if missing."""
+def document_store(connector: str, key: Sequence[str] = (), **options: str) -> Sink:
+    """Append rows as documents through a Spark connector, e.g. `mongodb`, which makes the collection if missing.
+
+    With `key`, columns that tell messages apart (such as topic, partition and offset, which `kafka_messages` keeps on
+    request), each document gets an `_id` made of them: a batch that is run again replaces its documents in a store that
+    writes by `_id`. Without, it adds them again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if key:
+            batch = batch.withColumn("_id", F.concat_ws("/", *key)).drop(*key)
         batch.write.format(connector).options(**options).mode("append").save()
 
     return lambda writer: writer.foreachBatch(write)
 
 
-def revisions(path: str, files: int | None = None) -> Sink:
+def revisions(path: str, files: int = FILES) -> Sink:
     """Keep what each batch changed, as `batch_id=<n>` below `path`.
 
     For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folder,
-    so a new checkpoint, which counts batches from 0, needs a new path. `files` bounds the files per batch; without
-    it each state partition writes its own.
+    so a new checkpoint, which counts batches from 0, needs a new path. `files` bounds the files per batch: one for
+    each state partition would be millions a day.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(files) if files else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.repartition(files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return lambda writer: writer.foreachBatch(write)
 

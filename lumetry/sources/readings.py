@@ -26,8 +26,3 @@ def table_of(spark: SparkSession, rows: Iterable[dict], schema: str) -> DataFram
     """A small table from records at hand. Volume comes through `read_json` or a message source."""
     return spark.createDataFrame(list(rows), schema)
 
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where their files come as fewer splits than that. Larger tables have more and stay put."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

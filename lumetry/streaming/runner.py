@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import Sink
 
 
+POLL_SECONDS = 1  # between two looks at all queries
+
+
 class Flow(NamedTuple):
     """One streaming query of a pipeline: what it emits, how, and how often."""
 
@@ -46,10 +49,17 @@ def run_available(flows: Mapping[Flow, Sink], checkpoint: str) -> None:
             query.stop()
 
 
-def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until one query ends, stop the others, and raise its error if it failed."""
+def await_any(queries: list[StreamingQuery]) -> None:
+    """Wait until one of these queries ends, stop the others, and raise its error if it failed.
+
+    Queries of the session that ended before, or that somebody else runs, do not count.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(POLL_SECONDS)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries:
             query.stop()

@@ -22,7 +22,7 @@ def test_run_over_landed_files(spark):
     P.meter(P.events(spark, "/root/testdata/sf0.001")).write.text(f"{folder}/landing")
     where = ["--files", f"{folder}/landing", "--table", f"{folder}/tables", "--checkpoint", f"{folder}/checkpoint"]
     main(["city", *where, "--available-now"])
-    main(["raw_meter", *where, "--available-now"])
+    main(["raw_meter", *where, "--available-now", "--source-option", "maxFilesPerTrigger=1"])
     assert spark.read.parquet(f"{folder}/tables/city_5m").select("batch_id").distinct().count() == 1
     assert spark.read.json(f"{folder}/tables/raw_meter").count() == 1000
 
@@ -37,4 +37,22 @@ def test_raw_readings_can_go_to_a_document_store():
     connector = ["--raw-connector", "mongodb", "--raw-option", "connection.uri=mongodb://h/?a=b"]
     chosen = arguments(["raw_and_cost", "--socket", "a:1", "--checkpoint", "c", *connector])
     assert "document_store" in sink_of(Flow("raw_device", None), chosen).__qualname__
+    with pytest.raises(SystemExit, match="no sink"):
+        sink_of(Flow("cost_1m", None, "update"), chosen)
+    chosen = arguments(["raw_and_cost", "--socket", "a:1", "--checkpoint", "c", *connector, "--console"])
     assert "console" in sink_of(Flow("cost_1m", None, "update"), chosen).__qualname__
+
+
+def test_grains_read_what_was_landed(spark):
+    folder = shared_folder(spark)
+    P.device(P.events(spark, "/root/testdata/sf0.001")).write.text(f"{folder}/landing")
+    where = ["--files", f"{folder}/landing", "--table", f"{folder}/tables", "--checkpoint", f"{folder}/checkpoint"]
+    main(["landed_costs", *where, "--available-now"])
+    assert spark.read.parquet(f"{folder}/tables/raw_device").count() == 1000
+    assert spark.read.parquet(f"{folder}/tables/cost_1d").select("batch_id").distinct().count() == 1
+
+
+def test_landed_costs_need_a_table(capsys):
+    with pytest.raises(SystemExit):
+        arguments(["landed_costs", "--socket", "a:1", "--checkpoint", "c"])
+    assert "--table" in capsys.readouterr().err

@@ -20,9 +20,8 @@ def report(spark, values, measure=M, kind="float", digits=None):
 
 
 def written(value):
-    """The decimal a float is written as, to six places."""
-    text = np.format_float_positional(np.float32(value), unique=True)
-    return Decimal(text).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+    """The decimal a float is written as."""
+    return Decimal(np.format_float_positional(np.float32(value), unique=True))
 
 
 def half_up(value):
@@ -33,6 +32,7 @@ floats = st.one_of(
     st.none(),
     st.integers(-20_000_000, 20_000_000).map(lambda n: float(np.float32(n / 100))),
     st.integers(-9_999_999, 9_999_999).map(lambda n: float(np.float32(n / 10_000))),
+    st.integers(-9_999_999, 9_999_999).map(lambda n: float(np.float32(n / 10**9))),
     st.sampled_from([0.1, 0.2, 1.005, -0.005, 99999.99, 100000.0, 123456.78, 1e9, -1.25]).map(
         lambda v: float(np.float32(v))
     ),
@@ -53,6 +53,18 @@ def test_sum_and_mean_are_those_of_the_written_decimals(spark, groups):
     assert {row["g"]: (row["total"], row["mean"]) for row in settled.collect()} == expected
 
 
+@pytest.mark.parametrize(
+    ("value", "total"), [(1e-7, 1e-4), (4e-7, 4e-4), (1.23456789, 1234.56789), (1e-18, 1e-15), (123456.1234567, 123456123.4567)]
+)
+def test_small_parts_add_up(spark, value, total):
+    assert report(spark, [value] * 1000, D, "double")[0] == total
+
+
+def test_the_smallest_are_added_as_doubles(spark):
+    assert report(spark, [1e-30] * 1000, D, "double")[0] == pytest.approx(1e-27)
+    assert report(spark, [1e-30, 0.5, 1e-7], D, "double")[0] == pytest.approx(0.5000001)
+
+
 def test_tenths_add_up(spark):
     assert report(spark, [0.1, 0.2]) == (0.3, 0.15)
 

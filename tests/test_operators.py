@@ -10,7 +10,6 @@ from lumetry.operators import (
     drop_resent,
     grown,
     latest_revision,
-    lookup,
     meter_summary,
     rollup_of_totals,
     with_city,
@@ -92,16 +91,16 @@ def test_latest_revision_takes_the_highest_number_also_when_it_is_null(spark):
     assert rows == {"a": (7.0, 10), "b": (None, 2)}
 
 
-@pytest.mark.parametrize("rows, size", [(100_000, 1 << 26), (3, 1 << 26), (100_000, 10)])
-def test_city_lookup_small_and_large(spark, monkeypatch, rows, size):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", rows)
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", size)
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_city_lookup_keeps_unknown_ids(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     cities = spark.range(20).selectExpr("cast(id as string) as id", "concat('c', id) as city")
     readings = spark.range(3000).selectExpr("id as n", "cast(if(id % 3 = 0, 7, id % 25) as string) as id")
     found = with_city(readings, cities)
     assert sorted(found.columns) == ["city", "id", "n"]
-    expected = sum(1 for i in range(3000) if (7 if i % 3 == 0 else i % 25) < 20)
-    assert found.count() == expected
+    known = sum(1 for i in range(3000) if (7 if i % 3 == 0 else i % 25) < 20)
+    assert (found.count(), found.where("city is not null").count()) == (3000, known)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found.where("city <> concat('c', id)").count() == 0
 
 

@@ -9,6 +9,7 @@ from lumetry.functions import (
     meter_readings,
     nonempty,
     parse,
+    elements,
     parse_array,
     payload_text,
     to_document,
@@ -87,7 +88,15 @@ def test_nonempty(messages):
 def test_arrays(messages):
     array = f"[{GOOD},{GOOD.replace('Gresik', 'Malang')}]"
     cities = parse_array(messages([array, GOOD, "not json", "[]"]), METER).select("city")
-    assert rows(cities) == [("Gresik",), ("Malang",), ("Gresik",)]
+    assert rows(cities) == [("Gresik",), ("Malang",), ("Gresik",), (None,), (None,)]
+
+
+def test_elements_lose_no_message(messages):
+    sent = [f"[{GOOD}, {GOOD}]", GOOD, "not json", None, "", f"[{GOOD},", '[{"P (watt)":"x"}]']
+    found = with_parse_status(elements(messages(sent)), METER)
+    assert [r["status"] for r in found.collect()] == [
+        "ok", "ok", "ok", "malformed", "empty", "empty", "malformed", "bad_fields",
+    ]
 
 
 def test_documents_parse_back(messages):

@@ -76,6 +76,11 @@ def test_cost_summaries_parse_four_fields(landed):
     assert "KPWR" not in text
 
 
+@pytest.mark.parametrize("name", ["agg_meter_1m", "agg_city_5m", "agg_cost_1h", "agg_cost_grains"])
+def test_registered_summaries_shuffle_once(spark, name):
+    assert plan(QUERIES[name](spark, "/root/testdata/sf0.001")).count("Exchange") == 1
+
+
 def test_scans_read_the_needed_columns_only(spark):
     text = plan(QUERIES["agg_meter_1m"](spark, "/root/testdata/sf0.001"))
     assert "ReadSchema: struct<event_id:bigint>" in text

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from lumetry.operators import latest_revision
 from lumetry.schemas import COST_SUMMARY
 from lumetry.session import shared_folder
 from lumetry.sinks import (
@@ -71,6 +72,29 @@ def test_document_store_appends_through_its_connector(spark):
     assert spark.read.json(folder).count() == 2
 
 
+def test_a_document_written_twice_has_one_id(spark):
+    folder = shared_folder(spark)
+    rows = spark.createDataFrame([("t", 0, 7, "a"), ("t", 1, 7, "a")], "topic STRING, partition INT, offset LONG, v STRING")
+    write = document_store("json", ("topic", "partition", "offset"), path=folder)(Writer()).write
+    for batch_id in range(2):
+        write(rows, batch_id)
+    stored = spark.read.json(folder)
+    assert stored.columns == ["_id", "v"] and sorted(r["_id"] for r in stored.distinct().collect()) == ["t/0/7", "t/1/7"]
+
+
+def test_a_later_run_goes_before_a_later_batch(spark):
+    table = spark.createDataFrame([("k", 90.0, 9, 1_700_000_000), ("k", 120.0, 0, 1_700_000_500)], "k STRING, v DOUBLE, batch_id LONG, run_id LONG")
+    (row,) = latest_revision(table, ["k"]).collect()
+    assert (row["v"], row["batch_id"]) == (120.0, 0)
+
+
+def test_a_few_connections_do_not_slow_the_aggregate(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.save", lambda self: seen.append(self._df.rdd.getNumPartitions()))
+    jdbc_revisions("jdbc:x", "t", connections=3)(Writer()).write(summary(spark, ("2024-01-01", 1, "a", 1.0)).repartition(7), 0)
+    assert seen == [3]
+
+
 def test_jdbc_options():
     options = jdbc_options("jdbc:x", "summary_1m", ["timestamp", "DID", "DSN"], connections=4, driver="d", batchsize="5")
     assert options == {

@@ -158,10 +158,11 @@ def test_out_of_band_rate_on_a_stream(spark, landing):
 def test_pipelines_run_on_the_right_messages(spark):
     sent = {
         "meter": P.meter(P.event_stream(spark, FOLDER)),
-        "device": P.device(P.event_stream(spark, FOLDER)),
+        "device": P.device_with_bad_messages(P.event_stream(spark, FOLDER)),
+        "lamp": P.lamp(P.event_stream(spark, FOLDER)),
     }
     for name, pipeline in PIPELINES.items():
-        kind = "meter" if name in ("raw_meter", "meter_1m", "meter_5m", "city") else "device"
+        kind = name if name == "lamp" else "meter" if name in ("raw_meter", "meter_1m", "meter_5m", "city") else "device"
         folder = shared_folder(spark)
         flows = pipeline(sent[kind])
         sinks = {
@@ -210,12 +211,12 @@ def test_waiting_ends_with_the_first_failure_and_stops_the_others(spark, landing
 
         return writer.foreachBatch(write)
 
-    spark.streams.resetTerminated()
+    ended = start(Flow("ended", frame), parquet(f"{landing.folder}/ended"), landing.folder, available_now=True)
+    ended.awaitTermination()  # a query that ended before is no reason to stop these
     queries = [
         start(Flow("steady", frame, every="1 second"), parquet(f"{landing.folder}/table"), landing.folder),
         start(Flow("failing", frame, every="1 second"), failing, landing.folder),
     ]
     with pytest.raises(StreamingQueryException, match="no disk"):
-        await_any(spark, queries)
+        await_any(queries)
     assert not any(q.isActive for q in queries)
-    spark.streams.resetTerminated()
