@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -64,30 +64,49 @@ def document_store(connector: str, key: Sequence[str] = (), **options: str) -> S
 
 
 def revisions(path: str, files: int = FILES) -> Sink:
-    """Keep what each batch changed, as `batch_id=<n>` below `path`.
+    """Keep what each batch changed, as `day=<date>/batch_id=<n>` below `path`, the day being that of `timestamp`.
 
-    For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folder,
+    For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folders,
     so a new checkpoint, which counts batches from 0, needs a new path. `files` bounds the files per batch: one for
     each state partition would be millions a day.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.repartition(files).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = _by_day(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        _replacing(rows.repartition(files)).partitionBy("day", "batch_id").parquet(path)
 
     return lambda writer: writer.foreachBatch(write)
 
 
+def _by_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("day", F.to_date("timestamp") if "timestamp" in rows.columns else F.lit(None).cast("date"))
+
+
+def _replacing(rows: DataFrame) -> DataFrameWriter:
+    """A writer that replaces the partitions that it writes and leaves the others."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 def create_if_missing(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> None:
     """An empty table with this schema, unless there is one."""
     spark.createDataFrame([], schema).write.format(kind).mode("ignore").save(path)
 
 
-def read_revisions(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All revisions with their `batch_id`."""
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
+def read_revisions(
+    spark: SparkSession, path: str, schema: str, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """All revisions with their `batch_id`, or those of windows from the first to the last of two days."""
+    rows = spark.read.schema(f"{schema}, day DATE, batch_id BIGINT").parquet(path)
+    return (rows.where(F.col("day").between(*days)) if days else rows).drop("day")
+
 
+def compact(
+    spark: SparkSession, path: str, target: str, schema: str, keys: Sequence[str], days: tuple[str, str] | None = None
+) -> DataFrame:
+    """Write the latest revision of each key to `target`, a folder per day, and return that table.
 
-def compact(spark: SparkSession, path: str, target: str, schema: str, keys: Sequence[str]) -> DataFrame:
-    """Write the latest revision of each key to `target`, a new folder per run, and return that table."""
-    latest_revision(read_revisions(spark, path, schema), keys).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    With `days`, such as the one that has just closed, only their revisions are read and only their folders replaced:
+    closed days are settled once and then left alone.
+    """
+    _replacing(_by_day(latest_revision(read_revisions(spark, path, schema, days), keys))).partitionBy("day").parquet(target)
+    return spark.read.schema(f"{schema}, batch_id BIGINT, day DATE").parquet(target).drop("day")

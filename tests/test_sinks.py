@@ -45,6 +45,19 @@ def test_a_batch_written_twice_counts_once(spark):
     assert sorted((r["DID"], r["total_cost"], r["batch_id"]) for r in compacted.collect()) == [(1, 3.0, 1), (2, 5.0, 0)]
 
 
+def test_closed_days_are_settled_once(spark):
+    table, target, keys = shared_folder(spark), shared_folder(spark), ("timestamp", "DID", "DSN")
+    write = revisions(table)(Writer()).write
+    write(summary(spark, ("2024-01-01", 1, "a", 1.0), ("2024-01-02", 1, "a", 5.0)), 0)
+    first = compact(spark, table, target, COST_SUMMARY, keys, ("2024-01-01", "2024-01-01"))
+    assert [r["total_cost"] for r in first.collect()] == [1.0]
+    write(summary(spark, ("2024-01-01", 1, "a", 2.0), ("2024-01-02", 1, "a", 6.0)), 1)
+    both = compact(spark, table, target, COST_SUMMARY, keys, ("2024-01-02", "2024-01-02"))
+    assert sorted(r["total_cost"] for r in both.collect()) == [1.0, 6.0]
+    plan = read_revisions(spark, table, COST_SUMMARY, ("2024-01-02", "2024-01-02"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_create_if_missing_leaves_a_table_alone(spark):
     table = shared_folder(spark)
     create_if_missing(spark, table, COST_SUMMARY)

@@ -113,7 +113,7 @@ def test_a_batch_whose_sink_fails_is_run_again(spark, landing):
 
     def broken(writer):
         def write(batch, batch_id):
-            batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{table}/day=__HIVE_DEFAULT_PARTITION__/batch_id={batch_id}")
             raise RuntimeError("connection lost")
 
         return writer.foreachBatch(write)
