@@ -84,7 +84,10 @@ def least_of_bins(hashes: Column) -> Column:
 
 def template_keys(spark: SparkSession, templates: list[tuple[str, str]]) -> list[tuple[str, list[int], list[int]]]:
     """Of each template: its id, its different shingles, and the least of the bins of all its segments."""
-    rows = spark.createDataFrame([(i, t) for i, t in templates], "license STRING, text STRING")
+    if not templates:
+        return []
+    given = F.array(*(F.struct(F.lit(i).alias("license"), F.lit(t).alias("text")) for i, t in templates))
+    rows = spark.range(1).select(F.inline(given))
     shingles = rows.select("license", shingle_hashes("text").alias("h")).where(F.size("h") > 0)
     last = F.greatest(F.lit(0), F.size("h") - SEGMENT)
     starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(SEGMENT)), F.array(last)))
@@ -104,7 +107,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
     spark = docs.sparkSession
     keyed = template_keys(spark, templates)
     if not keyed:
-        return spark.createDataFrame([], "doc_id LONG, license STRING, n_shared LONG, containment DOUBLE")
+        none = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.lit(False))
+        return none.selectExpr("doc_id", "'' AS license", "0L AS n_shared", "0D AS containment")
     wanted = sorted({key for _, _, keys in keyed for key in keys})
     # A generator of one row keeps Spark from working an array out again for every use and filter of it.
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(shingle_hashes("text"))).alias("h"))
