@@ -120,10 +120,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
     # The templates are few by design, so each text that has any of their keys meets all of them.
     pairs = retrieved.withColumn("template", F.explode(_literals(keyed))).where(F.arrays_overlap("found", "template.keys"))
     shared = F.size(F.array_intersect("h", "template.shingles"))
-    counted = pairs.select("doc_id", F.col("template.license").alias("license"), shared.cast("long").alias("n_shared"), F.size("template.shingles").alias("n"))
-    return counted.select("doc_id", "license", "n_shared", (F.col("n_shared") / F.col("n")).alias("containment")).where(
-        F.col("containment") >= contained
+    counted = pairs.select(
+        "doc_id",
+        F.col("template.license").alias("license"),
+        shared.cast("long").alias("n_shared"),
+        (shared / F.size("template.shingles")).alias("containment"),
     )
+    return counted.where(F.col("containment") >= contained)
 
 
 def _literals(keyed: list[tuple[str, list[int], list[int]]]) -> Column:

@@ -47,7 +47,8 @@ def directory(sizes: DataFrame, limit: int) -> tuple[DataFrame, int]:
         large = nodes.where((F.col("depth") == depth) & (F.col("n_bytes") > limit))
         if depth == BITS or not large.take(1):
             break
-        rows = rows.withColumn("prefix", F.shiftright("hash", BITS - depth)).join(large.select("prefix"), "prefix", "left_semi").select("hash", "n_bytes")
+        rows = rows.withColumn("prefix", F.shiftright("hash", BITS - depth))
+        rows = rows.join(large.select("prefix"), "prefix", "left_semi").select("hash", "n_bytes")
         low, depth = depth, min(BITS, depth + STEP)
     shards = found[0]
     for more in found[1:]:

@@ -228,8 +228,9 @@ def deduplicated(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     of_text = completed.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last", "before", "context")).alias("__ends"))
     at = docs.columns.index(next(name for name in docs.columns if name.lower() == "text"))
     ordered = known.join(of_text, "doc_id", "left").select(*(known[name] for name in docs.columns), "__ends")
-    spans_type = "ARRAY<STRUCT<first: LONG, last: LONG>>"
-    schema = T.StructType([*docs.schema.fields, T.StructField(REMOVED, T.LongType()), T.StructField(SPANS, T._parse_datatype_string(spans_type))])
+    span = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
+    added = [T.StructField(REMOVED, T.LongType()), T.StructField(SPANS, T.ArrayType(span))]
+    schema = T.StructType([*docs.schema.fields, *added])
     done = ordered.mapInArrow(lambda batches: _rewritten(batches, at, least), schema)
-    rest = docs.where("doc_id IS NULL").select("*", F.lit(0).cast("long"), F.array().cast(spans_type))
+    rest = docs.where("doc_id IS NULL").select("*", F.lit(0).cast("long"), F.array().cast(T.ArrayType(span)))
     return done.union(rest)
