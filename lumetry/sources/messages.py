@@ -29,7 +29,8 @@ def kafka_messages(
 
     Useful at volume: `minPartitions` splits a topic partition that holds far more than the others over several
     tasks, and `maxOffsetsPerTrigger` bounds a micro-batch when a stream catches up. A batch read starts at
-    `earliest`. `position` keeps topic, partition and offset, which tell messages apart. The connector (`spark-sql-kafka-0-10`) must be on the session's classpath.
+    `earliest`. `position` keeps topic, partition and offset, which tell messages apart. The connector
+    (`spark-sql-kafka-0-10`) must be on the session's classpath.
     """
     if not stream and starting == "latest":
         raise ValueError("a batch read has nothing to read from 'latest'; use starting='earliest'")

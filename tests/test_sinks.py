@@ -96,7 +96,8 @@ def test_a_document_written_twice_has_one_id(spark):
 
 
 def test_a_later_run_goes_before_a_later_batch(spark):
-    table = spark.createDataFrame([("k", 90.0, 9, 1_700_000_000), ("k", 120.0, 0, 1_700_000_500)], "k STRING, v DOUBLE, batch_id LONG, run_id LONG")
+    stored = [("k", 90.0, 9, 1_700_000_000), ("k", 120.0, 0, 1_700_000_500)]
+    table = spark.createDataFrame(stored, "k STRING, v DOUBLE, batch_id LONG, run_id LONG")
     (row,) = latest_revision(table, ["k"]).collect()
     assert (row["v"], row["batch_id"]) == (120.0, 0)
 
