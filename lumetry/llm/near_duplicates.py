@@ -9,7 +9,7 @@ of the text, since the time up to which darts are thrown shrinks with the text's
 Equal texts are one class, compared once. Classes that agree on a band of coordinates share a bucket. Its members are
 compared with one leader, and only members of one bucket that are still in different components after that with each
 other: their signatures first, inside the bucket, and the texts of those pairs alone whose signatures agree. A bucket of
-more than some thousand such members is banded anew by further coordinates until none is.
+more than some thousand such members is cut into blocks, and each pair of blocks is compared in a task of its own.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4  # two texts of similarity 0.8 share no band with a probability of (1 - 0.8**4)**32 = 5e-8
 COORDINATES = 3 * BANDS * ROWS  # the bands take the first third; all are used to estimate similarities
-ESTIMATE = 0.73  # pairs whose signatures agree on less are not compared: for similarity 0.8, 3.4 standard deviations
-BUCKET = 4096  # members of different components that are compared in one task
-DEEPER, SPLITS, DEPTH = 6, 5, 6  # a larger bucket: coordinates added to its band, ways to do so, and times, at most
+DEVIATIONS = 6  # pairs whose estimate is so many standard deviations below the similarity are not compared: one in 10**9
+BUCKET = 4096  # members of a bucket, or of a block of a larger one, that are compared with each other in one task
 BLOCK = 1 << 18  # characters handled at a time
 
 # Time is cut into cells: at first ever longer ones, up to half a dart for each unit of weight, then cells of one dart.
@@ -188,25 +187,22 @@ def band_keys(prints: str = "prints") -> Column:
     return F.array(*(F.xxhash64(F.lit(i), F.substring(prints, width * i + 1, width)) for i in range(BANDS)))
 
 
-def deeper_keys(depth: int) -> Column:
-    """Keys of a bucket's parts: the bucket's and more coordinates, in several ways."""
-    keys = []
-    for way in range(SPLITS):
-        # A fixed choice of coordinates for each depth and way, spread over the signature.
-        chosen = [int(c) for c in mix(np.arange(DEEPER, dtype=U64) + U64(1000 * depth + 100 * way)) % U64(COORDINATES)]
-        keys.append(F.xxhash64("key", F.lit(way), *(F.substring("prints", 2 * c + 1, 2) for c in chosen)))
-    return F.array(*keys)
+def least_estimate(similarity: float) -> float:
+    """The share of coordinates on which two texts of at least that similarity agree, but for one pair in a billion."""
+    return similarity - DEVIATIONS * float(np.sqrt(similarity * (1 - similarity) / COORDINATES))
 
 
-def _bucket_pairs(ids: np.ndarray, parts: np.ndarray, prints: np.ndarray, band: int, least: float) -> np.ndarray:
+def _bucket_pairs(ids: np.ndarray, parts: np.ndarray, sides: np.ndarray, prints: np.ndarray, band: int, least: float) -> np.ndarray:
     """The pairs of one bucket that are in different components and whose prints agree on that share of coordinates.
 
-    A pair that shares several bands is found in the first of them only.
+    Sides are 0 in a bucket or block that is compared with itself, or 1 and 2 in two blocks that are compared with each
+    other. A pair that shares several bands is found in the first of them only.
     """
     words = np.ascontiguousarray(prints).view("<u8")  # ROWS prints are one word: the bands come first
     found = []
     for i in range(len(ids) - 1):
-        rest = np.flatnonzero(parts[i + 1 :] != parts[i]) + i + 1
+        apart = (parts[i + 1 :] != parts[i]) & ((sides[i] == 0) | (sides[i + 1 :] != sides[i]))
+        rest = np.flatnonzero(apart) + i + 1
         near = rest[np.count_nonzero(prints[rest] == prints[i], axis=1) >= least * prints.shape[1]]
         if band > 0:
             near = near[~(words[near, :band] == words[i, :band]).any(1)]
@@ -215,12 +211,13 @@ def _bucket_pairs(ids: np.ndarray, parts: np.ndarray, prints: np.ndarray, band:
 
 
 def _bucketed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """_bucket_pairs of rows (key, band, id, component, prints) that come bucket by bucket."""
+    """_bucket_pairs of rows (key, band, id, component, side, prints) that come bucket by bucket."""
 
     def paired(columns: list[np.ndarray]) -> pa.RecordBatch:
-        key, band, ids, parts, prints = columns
+        key, band, ids, parts, sides, prints = columns
         edges = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-        pairs = [_bucket_pairs(ids[a:b], parts[a:b], prints[a:b], int(band[a]), least) for a, b in zip(edges[:-1], edges[1:])]
+        each = [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
+        pairs = [_bucket_pairs(ids[x], parts[x], sides[x], prints[x], int(band[x.start]), least) for x in each]
         pair = np.sort(np.concatenate(pairs), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
@@ -228,8 +225,8 @@ def _bucketed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(i).to_numpy() for i in range(4)]
-        columns.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u2").reshape(batch.num_rows, -1))
+        columns = [batch.column(i).to_numpy() for i in range(5)]
+        columns.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), "<u2").reshape(batch.num_rows, -1))
         if kept is not None:
             columns = [np.concatenate(pair) for pair in zip(kept, columns)]
         last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last bucket may go on in the next batch
@@ -250,6 +247,7 @@ def near_duplicates(
     Rows without a doc_id are left out. Rows that repeat a doc_id with another text are texts of their own, and rows that
     repeat both stay as they are. An empty table gives no rows. Other columns are not read.
     """
+    estimate = least_estimate(similarity)
     rows = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "coalesce(text, '') AS text").where("doc_id IS NOT NULL")
     rows = rows.select("doc_id", digest("text").alias("digest"), "text")
     signed = settled(
@@ -269,7 +267,7 @@ def near_duplicates(
         known = pairs.join(prints.select(F.col("id").alias("a"), F.col("prints").alias("x")), "a").join(
             prints.select(F.col("id").alias("b"), F.col("prints").alias("y")), "b"
         )
-        near = settled(known.select("a", "b", "x", "y").mapInArrow(lambda b: _agreeing(b, ESTIMATE), "a LONG, b LONG"), "near")
+        near = settled(known.select("a", "b", "x", "y").mapInArrow(lambda b: _agreeing(b, estimate), "a LONG, b LONG"), "near")
         needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(classes, "id").select("id", "digest")
         # One text of each class that takes part in a pair, found by the id that stands for the class.
         found = texts.join(needed, (texts.doc_id == needed.id) & (texts.digest == needed.digest), "left_semi")
@@ -293,25 +291,45 @@ def near_duplicates(
         of_key = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
         return crowd.join(of_key.where("low <> high").select("key", "n"), "key")
 
+    def in_blocks(crowd: DataFrame) -> DataFrame:
+        """The rows of large buckets, once for each pair of blocks that their block is in.
+
+        A component of a block or more has blocks of its own, which are not compared with each other.
+        """
+        sized = crowd.groupBy("key", "component").agg(F.count("*").alias("mine"))
+        others = sized.where(F.col("mine") < bucket).groupBy("key").agg(F.sum("mine").alias("others"))
+        alone = F.col("mine") >= bucket
+        cuts = F.ceil(F.when(alone, F.col("mine")).otherwise(F.col("others")) / bucket)
+        sized = sized.join(others, "key", "left").select(
+            "key", "component", F.when(alone, F.col("component")).alias("only"), cuts.alias("cuts")
+        )
+        block = F.xxhash64("only", F.isnull("only"), "number")
+        known = sized.select("key", "only", "cuts").distinct()
+        known = known.select("key", "only", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("number"))
+        known = settled(known.select("key", "only", block.alias("block")), "blocks")
+        left, right = known.toDF("key", "only_a", "a"), known.toDF("key", "only_b", "b")
+        pairs = left.join(right, "key").where("a <= b AND NOT coalesce(only_a = only_b, false)")
+        pairs = pairs.select("key", "a", "b", F.xxhash64("key", "a", "b").alias("task"))
+        sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("block"), F.lit(0).alias("side")))).otherwise(
+            F.array(*(F.struct(F.col(c).alias("block"), F.lit(i).alias("side")) for i, c in ((1, "a"), (2, "b"))))
+        )
+        placed = crowd.join(sized, ["key", "component"]).withColumn("number", F.pmod(F.xxhash64("id"), F.col("cuts")))
+        placed = placed.select("key", "band", "id", "component", block.alias("block"))
+        return placed.join(pairs.select("key", "task", F.inline(sides)), ["key", "block"]).select(
+            F.col("task").alias("key"), "band", "id", "component", "side"
+        )
+
     def across(group: DataFrame) -> DataFrame:
         """Pairs of one bucket but of different components, whose signatures are alike."""
         placed = members.drop("n").join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        crowd = mixed(placed).join(prints.select("id", "prints"), "id").select("key", "band", "id", "component", "prints", "n")
-        crowd, depth, pairs = settled(crowd, "mixed"), 0, []
-        while depth < DEPTH and crowd.where(F.col("n") > bucket).take(1):
-            parts = crowd.where(F.col("n") > bucket).withColumn("key", F.explode(deeper_keys(depth))).withColumn("band", F.lit(-1))
-            crowd = settled(crowd.where(F.col("n") <= bucket).unionByName(mixed(parts.drop("n"))), "mixed")
-            depth += 1
-        if depth == DEPTH:
-            # Members that agree on all these coordinates and more: a leader is as good as any other member.
-            large = crowd.where(F.col("n") > bucket)
-            pairs = [led(large.select("key", "id", "n")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))]
-            crowd = crowd.where(F.col("n") <= bucket)
-        rows = crowd.drop("n").repartition(partitions(docs), "key").sortWithinPartitions("key", "id")
-        found = rows.mapInArrow(lambda b: _bucketed(b, ESTIMATE), "a LONG, b LONG")
-        for more in pairs:
-            found = found.union(more)
-        return found.distinct()
+        crowd = settled(mixed(placed).select("key", "band", "id", "component", "n"), "mixed")
+        rows = crowd.where(F.col("n") <= bucket).select("key", "band", "id", "component", F.lit(0).alias("side"))
+        large = crowd.where(F.col("n") > bucket)
+        if large.take(1):
+            rows = rows.unionByName(in_blocks(large))
+        rows = rows.join(prints.select("id", "prints"), "id").select("key", "band", "id", "component", "side", "prints")
+        rows = rows.repartition(partitions(docs), "key").sortWithinPartitions("key", "side", "id")
+        return rows.mapInArrow(lambda b: _bucketed(b, estimate), "a LONG, b LONG").distinct()
 
     tried = settled(led(members), "led")
     links = linked(tried)

@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import itertools
+import random
 from collections import Counter
 
 from lumetry.llm import (
@@ -139,3 +141,31 @@ def test_fixity(spark):
     found = {(r["file"], r["record_id"], r["status"]) for r in fixity.audit(ours, theirs.union(ours.where("record_id IS NULL"))).collect()}
     assert found == {(0, 7, "corrupt"), (1, 1500, "corrupt"), (2, 2999, "missing")}
     assert fixity.audit(ours.limit(0), ours.limit(0)).count() == 0
+
+
+def test_near_duplicates_in_large_buckets(spark):
+    """Pairs of similarity 0.82 in families that share a template: each bucket holds many, but no two families are alike."""
+    chance = random.Random(4)
+    texts = {}
+    for family in range(40):
+        base = [f"w{i}" for i in range(400)]
+        slots = chance.sample(range(2, 400, 5), 12)
+        for slot in slots[:4]:
+            base[slot] = f"family{family}x{slot}"
+        for member in range(2):
+            own = list(base)
+            for slot in slots[4 + 4 * member : 8 + 4 * member]:
+                own[slot] = f"member{family}x{member}x{slot}"
+            texts[2 * family + member] = " ".join(own)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    for i, j in itertools.combinations(sets, 2):
+        both = len(sets[i] & sets[j])
+        assert (both >= 0.8 * (len(sets[i]) + len(sets[j]) - both)) == (i // 2 == j // 2)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    found = near_duplicates.near_duplicates(docs, bucket=5).collect()
+    assert {r["doc_id"]: r["group_id"] for r in found} == {i: i // 2 * 2 for i in texts}
+
+
+def test_estimates_pass_over_no_pair():
+    deviation = (0.8 * 0.2 / near_duplicates.COORDINATES) ** 0.5
+    assert 0.8 - near_duplicates.least_estimate(0.8) > 5.9 * deviation
