@@ -253,13 +253,14 @@ def near_duplicates(
     signed = settled(
         rows.mapInArrow(lambda b: _signed(b, words, counted), "doc_id LONG, digest BINARY, prints BINARY"), "signed"
     )
-    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints"))
-    classes = settled(classes, "classes")
+    # A class goes by its digest until the end, as one doc_id can have several texts.
+    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("prints").alias("prints"))
+    classes = settled(classes.withColumn("id", F.xxhash64("digest")), "classes")
     members = classes.where("prints IS NOT NULL").select("id", F.posexplode(band_keys()).alias("band", "key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = settled(members.join(crowded, "key"), "members")
 
-    prints = classes.select("id", "digest", "prints")
+    prints = classes.select("id", "prints")
     texts = rows.select("doc_id", "digest", "text")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -268,12 +269,12 @@ def near_duplicates(
             prints.select(F.col("id").alias("b"), F.col("prints").alias("y")), "b"
         )
         near = settled(known.select("a", "b", "x", "y").mapInArrow(lambda b: _agreeing(b, estimate), "a LONG, b LONG"), "near")
-        needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(classes, "id").select("id", "digest")
-        # One text of each class that takes part in a pair, found by the id that stands for the class.
-        found = texts.join(needed, (texts.doc_id == needed.id) & (texts.digest == needed.digest), "left_semi")
-        found = settled(found.dropDuplicates(["doc_id"]).select("doc_id", "text"), "texts")
-        both = near.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
-            found.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
+        needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(classes, "id").select("id", "doc_id", "digest")
+        # One text of each class that takes part in a pair, found by its smallest doc_id.
+        found = texts.join(needed, ["doc_id", "digest"]).dropDuplicates(["id"])
+        found = settled(found.select("id", "text"), "texts")
+        both = near.join(found.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(
+            found.select(F.col("id").alias("b"), F.col("text").alias("y")), "b"
         )
         checked = both.select("a", "b", "x", "y").mapInArrow(lambda b: _similar(b, words, counted, similarity), "a LONG, b LONG")
         return settled(checked, "links")
@@ -337,7 +338,9 @@ def near_duplicates(
     more = linked(across(group))
     if more.take(1):
         group = settled(components(links.union(more)), "components")
-    of_class = classes.join(group, "id", "left").select("digest", "id", F.coalesce("component", "id").alias("group_id"))
-    return signed.select("doc_id", "digest").join(of_class, "digest").select(
-        "doc_id", "digest", F.col("id").alias("class_id"), "group_id"
+    smallest = group.join(classes, "id").groupBy("component").agg(F.min("doc_id").alias("group_id"))
+    named = group.join(smallest, "component").select("id", "group_id")
+    of_class = classes.join(named, "id", "left").select(
+        "digest", F.col("doc_id").alias("class_id"), F.coalesce("group_id", "doc_id").alias("group_id")
     )
+    return signed.select("doc_id", "digest").join(of_class, "digest").select("doc_id", "digest", "class_id", "group_id")

@@ -16,6 +16,7 @@ from lumetry.llm import (
     substrings,
     token_files,
 )
+from lumetry.llm.common import digest
 
 from .conftest import prose
 
@@ -169,3 +170,11 @@ def test_near_duplicates_in_large_buckets(spark):
 def test_estimates_pass_over_no_pair():
     deviation = (0.8 * 0.2 / near_duplicates.COORDINATES) ** 0.5
     assert 0.8 - near_duplicates.least_estimate(0.8) > 5.9 * deviation
+
+
+def test_near_duplicates_with_two_texts_of_one_id(spark):
+    rows = [(3, prose(1, 120)), (5, prose(1, 119) + " end"), (5, prose(2, 90)), (8, prose(2, 89) + " other"), (9, prose(6, 40))]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    digests = {bytes(r["digest"]): r["text"] for r in docs.select(digest("text").alias("digest"), "text").collect()}
+    found = {(r["doc_id"], digests[bytes(r["digest"])]): r["group_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == dict(zip(rows, (3, 3, 5, 5, 9)))
