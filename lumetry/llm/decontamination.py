@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, gathered, spans, words_of
+from .common import blocks, gathered, settled, spans, words_of
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -116,18 +116,23 @@ def _occurrences(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterato
             )
 
 
+def _without(text: str, runs: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> str:
+    """Without the words of the runs; starts and ends: the bytes of all words."""
+    data = text.encode()
+    kept, at = [], 0
+    for first, last in runs:
+        kept.append(data[at : starts[first]])
+        at = int(ends[last - 1])
+    return "\n".join(part.decode() for part in [*kept, data[at:]])
+
+
 def _cut(text: str, phrases: Phrases) -> str:
     """Without the words in any occurrence; what a cut brings together is searched again until nothing is found."""
     while True:
         hit, _, _, (starts, ends) = phrases.find([text])
         if not hit.any():
             return text
-        data = text.encode()
-        kept, at = [], 0
-        for first, last in _runs(hit):
-            kept.append(data[at : starts[first]])
-            at = int(ends[last - 1])
-        text = "\n".join(part.decode() for part in [*kept, data[at:]])
+        text = _without(text, _runs(hit), starts, ends)
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch], phrases: Phrases, at: int) -> Iterator[pa.RecordBatch]:
@@ -145,15 +150,70 @@ def _cleaned(batches: Iterator[pa.RecordBatch], phrases: Phrases, at: int) -> It
         yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
 
 
-def phrase_blocks(bench: DataFrame, window: int = WINDOW) -> Iterator[Phrases]:
-    """The phrases of all items, in blocks of a bounded number of bytes, so that what is sent to the tasks is bounded."""
-    items = bench.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _merged(found: list[dict]) -> list[tuple[int, int]]:
+    """Spans of several blocks of phrases as runs that do not touch."""
+    runs: list[tuple[int, int]] = []
+    for first, last in sorted((x["first"], x["last"]) for x in found):
+        if runs and first <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(last, runs[-1][1]))
+        else:
+            runs.append((first, last))
+    return runs
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of FOUND with the spans of several blocks as runs, and the number of words in them."""
+    for batch in batches:
+        runs = [_merged(found) for found in batch.column(4).to_pylist()]
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+        columns = [batch.column(0), batch.column(1), pa.array([sum(b - a for a, b in own) for own in runs], pa.int64()), batch.column(3)]
+        columns.append(pa.array([[{"first": a, "last": b} for a, b in own] for own in runs], kind))
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "items", "spans"])
+
+
+def _apart(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Texts without the spans of the last column; those of which no word is left go."""
+    for batch in batches:
+        texts, found = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+        for i, own in enumerate(found):
+            _, starts, ends, _ = words_of([texts[i]])
+            texts[i] = _without(texts[i], _merged(own), starts, ends)
+        keep = [len(words_of([text])[0]) > 0 for text in texts]
+        rest = batch.select(batch.schema.names[:-1])
+        yield rest.set_column(at, rest.schema.field(at), pa.array(texts, rest.schema.field(at).type)).filter(pa.array(keep, pa.bool_()))
+
+
+def _block_count(items: DataFrame) -> int:
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(-(-size // PHRASE_BYTES)) or 1
+    return int(-(-size // PHRASE_BYTES)) or 1
+
+
+def phrase_blocks(bench: DataFrame, window: int = WINDOW) -> tuple[int, Iterator[Phrases]]:
+    """The number of blocks, of a bounded number of bytes, and the phrases of each block's items, one block after the other."""
+    items = bench.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    n = _block_count(items)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for i in range(n):
-        rows = items.where(block == i) if n > 1 else items
-        yield Phrases([(r[0], r[1]) for r in rows.collect()], window)
+    chosen = (items.where(block == i) if n > 1 else items for i in range(n))
+    return n, (Phrases([(r[0], r[1]) for r in rows.collect()], window) for rows in chosen)
+
+
+def _block_by_block(rows: DataFrame, blocks_: Iterator[Phrases], all_: bool) -> DataFrame:
+    """FOUND of rows (__row, text), with __row as doc_id; of all rows, or only of those with an occurrence.
+
+    Each block's results are written before the next block is read, and united by __row.
+    """
+    both = None
+    for phrases in blocks_:
+        found = rows.select("__row", "text").mapInArrow(lambda batches, p=phrases: _occurrences(batches, p), FOUND)
+        found = settled(found if all_ and both is None else found.where("n_hit > 0"), "found")
+        both = found if both is None else both.union(found)
+    united = both.groupBy("doc_id").agg(
+        F.max("n_words").alias("n_words"),
+        F.sum("n_hit").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+    )
+    return united.mapInArrow(_united, FOUND)
 
 
 def occurrences(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -164,30 +224,36 @@ def occurrences(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Data
     empty text has no words. Items without words or without an item_id: the former match nothing, the latter mark words
     but are not listed. Rows that repeat a doc_id have a result each. Other columns are not read.
 
-    More test texts than one block of phrases are searched block by block, and the blocks' spans of a doc_id united.
+    More test texts than one block of phrases are searched block by block, and the results of each row united.
     """
     rows = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")
-    results = [
-        rows.mapInArrow(lambda batches, p=phrases: _occurrences(batches, p), FOUND) for phrases in phrase_blocks(bench, window)
-    ]
-    if len(results) == 1:
-        return results[0]
-    both = results[0]
-    for other in results[1:]:
-        both = both.union(other)
-    united = both.groupBy("doc_id").agg(  # a row for each block
-        F.max("n_words").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-    )
-    hit = F.transform("spans", lambda s: F.sequence(s["first"], s["last"] - 1))
-    n_hit = F.size(F.array_distinct(F.flatten(hit))).cast("long")
-    return united.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans")
+    n, found = phrase_blocks(bench, window)
+    if n == 1:
+        phrases = next(found)
+        return rows.mapInArrow(lambda batches: _occurrences(batches, phrases), FOUND)
+    rows = settled(rows.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    united = _block_by_block(rows, found, True).withColumnRenamed("doc_id", "__row")
+    return united.join(rows.select("__row", "doc_id"), "__row").select("doc_id", "n_words", "n_hit", "items", "spans")
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """`docs` with all columns, without the words inside any occurrence of a phrase; texts of which none is left go."""
+    """`docs` with all columns, without the words inside any occurrence of a phrase; texts of which none is left go.
+
+    What a cut brings together is searched again, for the phrases of all blocks, until nothing is found.
+    """
     at = [name.lower() for name in docs.columns].index("text")
-    for phrases in phrase_blocks(bench, window):
-        docs = docs.mapInArrow(lambda batches, p=phrases: _cleaned(batches, p, at), docs.schema)
-    return docs
+    n, found = phrase_blocks(bench, window)
+    if n == 1:
+        phrases = next(found)
+        return docs.mapInArrow(lambda batches: _cleaned(batches, phrases, at), docs.schema)
+    todo, done = settled(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed"), None
+    while True:
+        hits = _block_by_block(todo, found, False).select(F.col("doc_id").alias("__row"), F.col("spans").alias("__spans"))
+        hits = settled(hits, "hits")
+        clean = todo.join(hits, "__row", "left_anti").select(*docs.columns)
+        done = clean if done is None else done.union(clean)
+        if not hits.take(1):
+            return done
+        both = todo.join(hits, "__row").select(*docs.columns, "__row", "__spans")
+        todo = settled(both.mapInArrow(lambda batches: _apart(batches, at), todo.schema), "cut")
+        _, found = phrase_blocks(bench, window)

@@ -178,3 +178,26 @@ def test_near_duplicates_with_two_texts_of_one_id(spark):
     digests = {bytes(r["digest"]): r["text"] for r in docs.select(digest("text").alias("digest"), "text").collect()}
     found = {(r["doc_id"], digests[bytes(r["digest"])]): r["group_id"] for r in near_duplicates.near_duplicates(docs).collect()}
     assert found == dict(zip(rows, (3, 3, 5, 5, 9)))
+
+
+def test_decontamination_in_several_blocks(spark, monkeypatch):
+    """Rows as with one block, also where they repeat a doc_id or have none, and where a cut brings another phrase together."""
+    items = [(str(i), prose(20 + i, 10)) for i in range(6)]
+    texts = [prose(1, 30), prose(2, 5) + " " + items[0][1] + " " + prose(3, 8), items[1][1] + " " + items[2][1]]
+    for _, outer in items[3:]:
+        for _, inner in items[3:]:
+            w = outer.split()
+            texts.append(" ".join(["left", *w[:5], inner, *w[5:], "right"]))
+    rows = [(i, t) for i in (1, 1, None) for t in texts] + [(2, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    bench = spark.createDataFrame(items, "item_id STRING, text STRING")
+
+    def results():
+        found = decontamination.occurrences(docs, bench).collect()
+        clean = decontamination.decontaminated(docs, bench).collect()
+        plain = [(r["doc_id"], r["n_words"], r["n_hit"], sorted(r["items"]), [tuple(s) for s in r["spans"]]) for r in found]
+        return Counter(map(str, plain)), Counter((r["doc_id"], " ".join((r["text"] or "").split())) for r in clean)
+
+    one = results()
+    monkeypatch.setattr(decontamination, "PHRASE_BYTES", 100)
+    assert results() == one and sum(one[0].values()) == len(rows)
