@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from lumetry.session import shared_folder
 
-from . import cover_tree, decontamination, fixity, licenses, near_duplicates, packing, quality, sharding, substrings, token_files
+from . import (
+    cover_tree,
+    decontamination,
+    fixity,
+    licenses,
+    near_duplicates,
+    packing,
+    periodic,
+    prefix_trie,
+    quality,
+    sharding,
+    substrings,
+    token_counts,
+    token_files,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +107,47 @@ def op10_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one of ten texts goes on, from some word to its end, with a few words said again and again.
+
+    With h the checksum of the doc_id's text and g = h div 10, these are texts with h % 10 = 0: each word i >= a becomes
+    word a + (i - a) % p, where n is their number, a = g % n and p = 1 + (n - a) div (3 + g % 8). A text without words, or
+    without a doc_id, stays.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({periodic.WORD.pattern})")))
+    rows = docs.select("doc_id", "text", words.alias("words"), F.expr("crc32(binary(string(doc_id))) DIV 10").alias("g"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    ends = F.expr("transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)]))")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(ends, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_periodic_ends(table(spark, sf_dir, "documents")))
+    # The longest run; of equal ones the first, then that of the smallest period.
+    top = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length DIV -top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
