@@ -288,3 +288,42 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["str_fan_out_landed"] = ORACLES["str_fan_out"]
+ORACLES["str_delta_grains"] = ORACLES["agg_cost_grains"]
+ORACLES["snk_committed_batches"] = ORACLES["snk_summary_table"]
+ORACLES["src_variant_landing"] = ORACLES["prj_parse_device_float"]
+ORACLES["ra_dedup_immediate"] = ORACLES["ra_dedup_readings"]
+ORACLES["str_late_side_output"] = f"""
+    select *, 'on_time' as reason from ({_LATE}) o
+    union all
+    select *, 'late' as reason from ({_LATE.replace("where before is null or", "where not (before is null or").replace("group by all", ") group by all")}) l
+"""
+ORACLES["ra_city_stream"] = f"""
+    select date_time, id, case when id = '5' and (epoch(date_time)::bigint - 1704067200) // 2 % 2 = 0 then null else city end as city
+    from ({METER}) m
+"""
+ORACLES["str_landed_city"] = f"""
+    select *, '1m' as grain from ({_meter_summary(1, "city")}) a
+    union all select *, '5m' as grain from ({_meter_summary(5, "city")}) b
+"""
+_MIXED = """
+    case when event_id % 97 = 0 or event_id % 101 = 0 then 'malformed' when event_id % 103 = 0 then 'no_elements'
+         when event_id % 107 = 0 then 'no_object' when event_id % 109 = 0 then 'empty' end
+"""
+ORACLES["ra_variant_quarantine"] = f"""
+    with sent as (select event_id, {_MIXED} as wrong from events)
+    select status, count(*) as messages, count(*) filter (status in ('ok', 'bad_fields')) as with_id,
+           count(*) filter (status = 'ok') as with_power
+    from (select coalesce(wrong, 'ok') as status from sent
+          union all select 'bad_fields' from sent where wrong is null and event_id % 2 = 1) s
+    group by 1
+"""
+ORACLES["str_landed_checked"] = f"""
+    with sent as (select *, {_MIXED} as wrong from events),
+    hours as (select time_bucket(interval '1 hour', ts) as h, user_id % 20 as d, sum(cast(value as decimal(18,2))) as cost
+              from sent where wrong is null group by 1, 2)
+    select 'raw_checked' as flow, count(*) as rows, cast(sum(cast(value as decimal(18,2))) as double) as total_cost
+    from sent where wrong is null
+    union all select coalesce(wrong, 'bad_fields'), count(*), null from sent
+              where wrong is not null or event_id % 2 = 1 group by 1
+    union all select 'cost_1h', count(*), cast(sum(cost) as double) from hours
+"""

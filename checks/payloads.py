@@ -100,6 +100,19 @@ def device_arrays(rows: DataFrame) -> DataFrame:
     )
 
 
+def device_mixed(rows: DataFrame) -> DataFrame:
+    """All that a sender may send: objects, arrays of a good element and an odd one, empty arrays, numbers, and no JSON."""
+    good = f"to_json({device_fields()})"
+    odd = "regexp_replace({}, '\"KPWR\":[0-9]+', '\"KPWR\":\"?\"')".format(good)
+    return rows.select(
+        F.expr(
+            f"""case when event_id % 97 = 0 then 'not json' when event_id % 101 = 0 then concat('[', {good}, ',')
+                     when event_id % 103 = 0 then '[]' when event_id % 107 = 0 then '17' when event_id % 109 = 0 then null
+                     when event_id % 2 = 0 then {good} else concat('[', {good}, ',', {odd}, ']') end"""
+        ).alias("value")
+    )
+
+
 def lamp(rows: DataFrame) -> DataFrame:
     return rows.select(F.expr(f"to_json(named_struct({LAMP_FIELDS}))").alias("value"))
 

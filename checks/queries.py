@@ -8,10 +8,12 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.errors import StreamingQueryException
 
 from lumetry.functions import (
     COST,
     METER_MEASURES,
+    as_variants,
     device_costs,
     device_readings,
     elements,
@@ -24,6 +26,8 @@ from lumetry.functions import (
     payload_text,
     timed,
     to_document,
+    variant_elements,
+    variant_readings,
     with_cost_default,
     with_parse_status,
 )
@@ -31,6 +35,7 @@ from lumetry.operators import (
     cost_grains,
     cost_summary,
     drop_resent,
+    drop_resent_at_once,
     grown,
     lamp_cities,
     latest_revision,
@@ -43,9 +48,11 @@ from lumetry.operators import (
     with_out_of_band,
 )
 from lumetry.operators.summaries import BY_CITY, BY_DEVICE, BY_METER, meter_report, window_text, windowed_sums
-from lumetry.plans import PIPELINES, cost_cascade, landed_costs
+from lumetry.functions.variants import variant_fields
+from lumetry.plans import LANDED, PIPELINES, cost_cascade, landed_costs
 from lumetry.schemas import (
     CITIES,
+    CITY_SUMMARY,
     COST_SUMMARY,
     DEVICE_COST,
     DEVICE_FLOAT,
@@ -56,7 +63,24 @@ from lumetry.schemas import (
     METER_SUMMARY,
 )
 from lumetry.session import prepare, shared_folder
-from lumetry.sinks import compact, create_if_missing, documents, parquet, read_revisions, revisions
+from lumetry.sinks import (
+    Staged,
+    closing_sums,
+    committed,
+    compact,
+    create_if_missing,
+    documents,
+    looked_up,
+    parquet,
+    read_closing_sums,
+    read_committed,
+    read_delta_grains,
+    read_readings,
+    read_revisions,
+    revisions,
+    stage_grains,
+    stage_revisions,
+)
 from lumetry.sources import empty_table, landed_messages, read_json, table_of
 from lumetry.streaming import Flow, run_available
 
@@ -156,6 +180,13 @@ def src_json_summary(spark, sf_dir):
     return shown(cost_summary(timed(read_json(spark, landing, DEVICE_FLOAT), "STIME"), "1 hour"))
 
 
+@registered
+def src_variant_landing(spark, sf_dir):
+    """Messages landed as VARIANT by a stream, and their fields read from that."""
+    landed = appended(spark, as_variants(P.device(P.event_stream(spark, sf_dir), half_watts=True)))
+    return shown(landed.select(*variant_fields(DEVICE_FLOAT)))
+
+
 @registered
 def src_empty_schema(spark, sf_dir):
     return shown(grown(empty_table(spark, DEVICE_INT), parse(P.device(P.events(spark, sf_dir)), DEVICE_INT)))
@@ -325,14 +356,14 @@ def str_window_offset(spark, sf_dir):
 def str_cost_1h_update(spark, sf_dir):
     readings = device_costs(P.device(P.event_stream(spark, sf_dir)))
     flow = Flow("cost_1h", cost_summary(readings, "1 hour", "1 hour"), "update")
-    return shown(latest_revision(revised(spark, flow, COST_SUMMARY), DEVICE_KEYS).drop("batch_id"))
+    return shown(latest_revision(revised(spark, flow, COST_SUMMARY), DEVICE_KEYS).drop("batch_id", "run_id"))
 
 
 @registered
 def str_meter_1m_update(spark, sf_dir):
     (flow,) = PIPELINES["meter_1m"](P.meter(P.event_stream(spark, sf_dir)))
     keys = ("timestamp", *BY_METER)
-    return latest_revision(revised(spark, flow, METER_SUMMARY), keys).drop("batch_id")
+    return latest_revision(revised(spark, flow, METER_SUMMARY), keys).drop("batch_id", "run_id")
 
 
 @registered
@@ -360,20 +391,20 @@ def str_late_rows(spark, sf_dir):
     ones finds its window closed.
     """
     folder = shared_folder(spark)
-    rows = P.events(spark, sf_dir).withColumn(
-        "delivery",
-        F.expr(
-            """case when day(ts) <= 10 and event_id % 10 = 0 then 2 when day(ts) <= 10 then 0
-                    when day(ts) <= 20 and event_id % 10 = 5 then 2 when day(ts) <= 20 then 1 else 2 end"""
-        ),
-    )
+    rows = _with_delivery(P.events(spark, sf_dir))
     summary = cost_summary(device_costs(landed_messages(spark, _landing(spark, folder))), "1 hour", "1 hour")
     for delivery in range(3):
         P.device(rows.where(F.col("delivery") == delivery)).write.mode("append").text(f"{folder}/landing")
         flow = {Flow("cost_1h", summary, "update"): revisions(f"{folder}/table")}
         run_available(flow, f"{folder}/checkpoint")
     table = read_revisions(spark, f"{folder}/table", COST_SUMMARY)
-    return shown(latest_revision(table, DEVICE_KEYS).drop("batch_id"))
+    return shown(latest_revision(table, DEVICE_KEYS).drop("batch_id", "run_id"))
+
+
+def _with_delivery(rows: DataFrame) -> DataFrame:
+    number = """case when day(ts) <= 10 and event_id % 10 = 0 then 2 when day(ts) <= 10 then 0
+                     when day(ts) <= 20 and event_id % 10 = 5 then 2 when day(ts) <= 20 then 1 else 2 end"""
+    return rows.withColumn("delivery", F.expr(number))
 
 
 def _landing(spark: SparkSession, folder: str) -> str:
@@ -440,9 +471,112 @@ def str_cost_cascade(spark, sf_dir):
     return shown(minute.unionByName(hour).unionByName(day))
 
 
+def _failing_once(stage, batch_id: int):
+    """Has one batch lose its executors when its tables are written, but before it is committed."""
+    failed = []
+
+    def run(batch: DataFrame, staged: Staged) -> None:
+        stage(batch, staged)
+        if staged.batch_id == batch_id and not failed:
+            failed.append(staged)
+            raise RuntimeError("the batch was lost before its commit")
+
+    return run
+
+
+def _started_again(flow: Flow, sink, checkpoint: str) -> None:
+    """Run a query that fails, and start it again from its checkpoint."""
+    try:
+        run_available({flow: sink}, checkpoint)
+    except StreamingQueryException:
+        run_available({flow: sink}, checkpoint)
+    else:
+        raise AssertionError("the first start was to fail")
+
+
+def _delivered(spark: SparkSession, sf_dir: str, folder: str, payload=P.device) -> str:
+    """Messages in three files, ten days each."""
+    rows = P.events(spark, sf_dir)
+    landing = _landing(spark, folder)
+    for first, last in ((1, 10), (11, 20), (21, 31)):
+        payload(rows.where(F.expr(f"day(ts) BETWEEN {first} AND {last}"))).coalesce(1).write.mode("append").text(landing)
+    return landing
+
+
+@registered
+def str_delta_grains(spark, sf_dir):
+    """All grains as sums of deltas, batch by batch; the second batch fails when it is written and is run again."""
+    folder = shared_folder(spark)
+    messages = landed_messages(spark, _delivered(spark, sf_dir, folder), maxFilesPerTrigger="1")
+    sink = committed(f"{folder}/deltas", _failing_once(stage_grains, 1))
+    _started_again(Flow("cost_deltas", device_readings(messages)), sink, f"{folder}/checkpoint")
+    return shown(read_delta_grains(spark, f"{folder}/deltas"))
+
+
+@registered
+def str_late_side_output(spark, sf_dir):
+    """The deliveries of `str_late_rows`: cost per hour of what came in time, and beside it of what found its hour closed."""
+    folder = shared_folder(spark)
+    rows = _with_delivery(P.events(spark, sf_dir))
+    flow = Flow("closing", device_costs(landed_messages(spark, _landing(spark, folder))))
+    for delivery in range(3):
+        P.device(rows.where(F.col("delivery") == delivery)).write.mode("append").text(f"{folder}/landing")
+        run_available({flow: closing_sums(f"{folder}/table", "1 hour", "1 hour")}, f"{folder}/checkpoint")
+    on_time = read_closing_sums(spark, f"{folder}/table").withColumn("reason", F.lit("on_time"))
+    late = read_readings(spark, f"{folder}/table", "STIME TIMESTAMP, DID INT, DSN STRING, COST FLOAT", "late", "no_time")
+    late = late.groupBy(F.window("STIME", "1 hour").alias("w"), *BY_DEVICE, "reason").agg(*COST.partials())
+    late = late.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, COST.total().alias("total_cost"), "reason")
+    return shown(on_time.unionByName(late))
+
+
+@registered
+def str_landed_city(spark, sf_dir):
+    """City summaries of both grains from readings that were parsed once."""
+    folder = shared_folder(spark)
+    for flow, sink in LANDED["landed_city"](spark, P.meter(P.event_stream(spark, sf_dir)), folder):
+        run_available({flow: sink}, f"{folder}/checkpoint")
+    both = [
+        latest_revision(read_revisions(spark, f"{folder}/city_{grain}", CITY_SUMMARY), ("timestamp", *BY_CITY))
+        .drop("batch_id", "run_id")
+        .withColumn("grain", F.lit(grain))
+        for grain in ("1m", "5m")
+    ]
+    return both[0].unionByName(both[1])
+
+
+@registered
+def str_landed_checked(spark, sf_dir):
+    """Good readings, quarantine and the good ones' cost per hour, from messages that were parsed once; rows and cost."""
+    folder = shared_folder(spark)
+    for flow, sink in LANDED["landed_checked"](spark, P.device_mixed(P.event_stream(spark, sf_dir)), folder):
+        run_available({flow: sink}, f"{folder}/checkpoint")
+    good = spark.read.parquet(f"{folder}/raw_checked").select(F.lit("raw_checked").alias("flow"), F.col("COST").alias("cost"))
+    bad = spark.read.parquet(f"{folder}/raw_quarantine").select("status", F.lit(None).cast("float").alias("cost"))
+    hours = latest_revision(read_revisions(spark, f"{folder}/cost_1h", COST_SUMMARY), DEVICE_KEYS)
+    hours = hours.select(F.lit("cost_1h"), F.col("total_cost").alias("cost"))
+    total = F.sum(F.col("cost").cast("string").cast("decimal(18,2)")).cast("double").alias("total_cost")
+    return good.union(bad).union(hours).groupBy("flow").agg(F.count("*").alias("rows"), total)
+
+
 # Sinks
 
 
+@registered
+def snk_committed_batches(spark, sf_dir):
+    """A run of three batches, the second of which is lost before its commit and run again, and a later run of two."""
+    folder = shared_folder(spark)
+    landing, path = _delivered(spark, sf_dir, folder), f"{folder}/revisions"
+    summaries = [
+        cost_summary(device_costs(landed_messages(spark, landing, maxFilesPerTrigger=files)), "1 day", "1 day")
+        for files in ("1", "2")
+    ]
+    sink = committed(path, _failing_once(stage_revisions, 1))
+    _started_again(Flow("cost_1d", summaries[0], "update"), sink, f"{folder}/first")
+    run_available({Flow("cost_1d", summaries[1], "update"): revisions(path)}, f"{folder}/second")
+    table = compact(spark, path, f"{folder}/summary", COST_SUMMARY, DEVICE_KEYS)
+    return shown(table.drop("batch_id", "run_id"))
+
+
 @registered
 def snk_summary_table(spark, sf_dir):
     folder = shared_folder(spark)
@@ -450,7 +584,7 @@ def snk_summary_table(spark, sf_dir):
     flow = Flow("cost_1d", cost_summary(readings, "1 day", "1 day"), "update")
     run_available({flow: revisions(f"{folder}/revisions")}, f"{folder}/checkpoint")
     table = compact(spark, f"{folder}/revisions", f"{folder}/summary", COST_SUMMARY, DEVICE_KEYS)
-    return shown(table.drop("batch_id"))
+    return shown(table.drop("batch_id", "run_id"))
 
 
 @registered
@@ -462,7 +596,7 @@ def snk_replayed_batch(spark, sf_dir):
         flow = Flow("cost_1d", cost_summary(readings, "1 day", "1 day"), "update")
         run_available({flow: revisions(f"{folder}/revisions")}, f"{folder}/checkpoint_{attempt}")
     table = compact(spark, f"{folder}/revisions", f"{folder}/summary", COST_SUMMARY, DEVICE_KEYS)
-    return shown(table.drop("batch_id"))
+    return shown(table.drop("batch_id", "run_id"))
 
 
 @registered
@@ -520,6 +654,30 @@ def ra_array_quarantine(spark, sf_dir):
     return parsed.groupBy("status").agg(F.count("*").alias("messages"), F.count("ID").alias("with_id"))
 
 
+@registered
+def ra_variant_quarantine(spark, sf_dir):
+    sent = variant_elements(as_variants(P.device_mixed(P.events(spark, sf_dir))))
+    return variant_readings(sent, DEVICE_INT).groupBy("status").agg(
+        F.count("*").alias("messages"), F.count("ID").alias("with_id"), F.count("KPWR").alias("with_power")
+    )
+
+
+@registered
+def ra_city_stream(spark, sf_dir):
+    """Two deliveries, the second after the table of cities has got its fifth row."""
+    folder = shared_folder(spark)
+    rows, landing = P.events(spark, sf_dir), _landing(spark, folder)
+    readings = meter_readings(landed_messages(spark, landing)).drop("city")
+    sink = looked_up(f"{folder}/table", lambda session: session.read.schema("id STRING, city STRING").parquet(f"{folder}/cities"))
+    for delivery, ids in enumerate(((1, 2, 3, 4), (5,))):
+        cities = table_of(spark, [{"id": str(i), "city": CITIES[i]} for i in ids], "id STRING, city STRING")
+        cities.write.mode("append").parquet(f"{folder}/cities")
+        P.meter(rows.where(F.col("event_id") % 2 == delivery)).write.mode("append").text(landing)
+        run_available({Flow("cities", readings): sink}, f"{folder}/checkpoint")
+    schema = f"{_ddl(readings)}, city STRING"
+    return shown(read_committed(spark, f"{folder}/table", "readings", schema).select("date_time", "id", "city"))
+
+
 @registered
 def ra_derived_current(spark, sf_dir):
     messages = P.meter(P.events(spark, sf_dir), drift="if(event_id % 7 = 0, 3, 0)")
@@ -548,6 +706,19 @@ def ra_dedup_stream(spark, sf_dir):
     return shown(appended(spark, drop_resent(readings, delay="1 minute")))
 
 
+@registered
+def ra_dedup_immediate(spark, sf_dir):
+    """Three deliveries, each with all that was sent before, every message three times; copies leave nothing behind."""
+    folder = shared_folder(spark)
+    rows, landing = P.events(spark, sf_dir), _landing(spark, folder)
+    readings = drop_resent_at_once(meter_readings(landed_messages(spark, landing)), delay="1 minute")
+    for part in (1, 2, 3):
+        so_far = rows.where(F.col("event_id") <= rows.agg(F.max("event_id")).first()[0] * part // 3)
+        P.resent(P.meter(so_far)).write.mode("append").text(landing)
+        run_available({Flow("once", readings): parquet(f"{folder}/table")}, f"{folder}/checkpoint")
+    return shown(spark.read.schema(readings.schema).parquet(f"{folder}/table"))
+
+
 @registered
 def ra_latest_revision(spark, sf_dir):
     """Hourly costs as three deliveries would leave them behind: running totals, one revision per delivery."""

@@ -1,24 +1,36 @@
-"""Run a pipeline: `python -m lumetry meter_5m --kafka host:9092 --topic meters --checkpoint <shared folder>`."""
+"""Run a pipeline: `python -m lumetry meter_5m --kafka host:9092 --topic meters --checkpoint <shared folder>`.
+
+`python -m lumetry compact --table <revisions> --target <summary> --rows cost --days 2024-01-01 2024-01-07` settles the
+revisions that the summaries' flows leave behind.
+"""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import PIPELINES, landed_costs
+from .operators.summaries import BY_CITY, BY_DEVICE, BY_METER
+from .plans import COMMITTED, LANDED, PIPELINES
+from .schemas import CITY_SUMMARY, COST_SUMMARY, METER_SUMMARY
 from .session import build_session
-from .sinks import console, document_store, documents, jdbc_revisions, parquet, revisions
+from .sinks import compact, console, document_store, documents, jdbc_revisions, parquet, revisions
 from .sinks.tables import Sink
 from .sources import kafka_messages, landed_messages, socket_messages
 from .streaming import Flow, await_any, run_available, start
 
-LANDED = "landed_costs"
+# What `compact` knows: the columns of a summary and those of its keys.
+SUMMARIES = {
+    "cost": (COST_SUMMARY, ("timestamp", *BY_DEVICE)),
+    "meter": (METER_SUMMARY, ("timestamp", *BY_METER)),
+    "city": (CITY_SUMMARY, ("timestamp", *BY_CITY)),
+}
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lumetry", description="Telemetry summaries on Spark")
-    parser.add_argument("pipeline", choices=sorted([*PIPELINES, LANDED]))
+    parser.add_argument("pipeline", choices=sorted([*PIPELINES, *LANDED, *COMMITTED]))
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", metavar="HOST:PORT[,...]")
     source.add_argument("--socket", metavar="HOST:PORT")
@@ -40,11 +52,23 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parsed = parser.parse_args(argv)
     if parsed.kafka and not parsed.topic:
         parser.error("--kafka needs --topic")
-    if parsed.pipeline == LANDED and not parsed.table:
-        parser.error(f"{LANDED} needs --table")
+    if parsed.pipeline not in PIPELINES:
+        if not parsed.table:
+            parser.error(f"{parsed.pipeline} needs --table")
+        if parsed.jdbc or parsed.console or parsed.raw_connector:
+            parser.error(f"{parsed.pipeline} writes tables only, below --table")
     return parsed
 
 
+def compact_arguments(argv: list[str]) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="lumetry compact", description="The latest revision of every window")
+    parser.add_argument("--table", required=True, metavar="FOLDER", help="revisions, as a summary's flow writes them")
+    parser.add_argument("--target", required=True, metavar="FOLDER", help="the summary, in folders per day")
+    parser.add_argument("--rows", choices=sorted(SUMMARIES), required=True)
+    parser.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="settle these days only, and leave the others")
+    return parser.parse_args(argv)
+
+
 def _options(given: list[str]) -> dict[str, str]:
     return dict(option.split("=", 1) for option in given)
 
@@ -80,18 +104,26 @@ def sink_of(flow: Flow, chosen: argparse.Namespace) -> Sink:
 
 
 def main(argv: list[str] | None = None) -> None:
-    chosen = arguments(argv)
+    given = sys.argv[1:] if argv is None else argv
+    if given[:1] == ["compact"]:
+        asked = compact_arguments(given[1:])
+        schema, keys = SUMMARIES[asked.rows]
+        compact(build_session("lumetry"), asked.table, asked.target, schema, keys, asked.days and tuple(asked.days))
+        return
+    chosen = arguments(given)
     spark = build_session("lumetry")
     # Pipelines share names of flows, so each has a folder of its own below the checkpoint.
     checkpoint = f"{chosen.checkpoint.rstrip('/')}/{chosen.pipeline}"
     messages = messages_of(spark, chosen)
-    if chosen.pipeline == LANDED:
-        pairs = landed_costs(spark, messages, chosen.table.rstrip("/"))
+    if chosen.pipeline in LANDED:
+        pairs = LANDED[chosen.pipeline](spark, messages, chosen.table.rstrip("/"))
+    elif chosen.pipeline in COMMITTED:
+        pairs = COMMITTED[chosen.pipeline](messages, chosen.table.rstrip("/"))
     else:
         pairs = [(flow, sink_of(flow, chosen)) for flow in PIPELINES[chosen.pipeline](messages)]
     flows = {flow._replace(every=chosen.every or flow.every): sink for flow, sink in pairs}
-    if chosen.available_now and chosen.pipeline == LANDED:
-        for flow, sink in flows.items():  # the grains read what the first flow landed
+    if chosen.available_now and chosen.pipeline in LANDED:
+        for flow, sink in flows.items():  # a flow reads what one before it landed
             run_available({flow: sink}, checkpoint)
     elif chosen.available_now:
         run_available(flows, checkpoint)

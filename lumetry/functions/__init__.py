@@ -15,11 +15,13 @@ from .parsing import (
     with_cost_default,
     with_parse_status,
 )
+from .variants import as_variants, variant_elements, variant_readings
 
 __all__ = [
     "COST",
     "METER_MEASURES",
     "Measure",
+    "as_variants",
     "device_costs",
     "device_readings",
     "elements",
@@ -32,6 +34,8 @@ __all__ = [
     "payload_text",
     "timed",
     "to_document",
+    "variant_elements",
+    "variant_readings",
     "with_cost_default",
     "with_parse_status",
 ]

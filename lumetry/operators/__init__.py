@@ -1,9 +1,11 @@
 from .lookup import lamp_cities, with_city
-from .quality import drop_resent, out_of_band_rate, with_derived_current, with_out_of_band
+from .quality import drop_resent, drop_resent_at_once, out_of_band_rate, with_derived_current, with_out_of_band
 from .revisions import latest_revision
 from .summaries import (
+    added_grains,
     cost_grains,
     cost_summary,
+    grain_sums,
     grown,
     meter_summary,
     rollup_of_means,
@@ -11,9 +13,12 @@ from .summaries import (
 )
 
 __all__ = [
+    "added_grains",
     "cost_grains",
     "cost_summary",
     "drop_resent",
+    "drop_resent_at_once",
+    "grain_sums",
     "grown",
     "lamp_cities",
     "latest_revision",

@@ -13,8 +13,8 @@ def latest_revision(
 ) -> DataFrame:
     """The last revision of each key, and once only where a batch was written twice.
 
-    Where the table says in which run (seconds since 1970, of a start) a batch was written, a later run goes before a
-    later batch: a new checkpoint counts batches from 0 again.
+    Where the table says in which run a batch was written (a number, or the seconds since 1970 of a start), a later run
+    goes before a later batch: a new checkpoint counts batches from 0 again.
 
     `max_by` folds the revisions within each task before the shuffle; ranking them would sort every one of a key's
     revisions in a single task.

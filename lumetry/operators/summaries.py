@@ -129,8 +129,8 @@ def cost_summary(
     return cost_report(windowed_sums(readings, "STIME", grain, BY_DEVICE, [COST], delay, offset), digits)
 
 
-def cost_grains(readings: DataFrame) -> DataFrame:
-    """Cost per minute, hour and day in one pass; `grain` says which a row belongs to.
+def grain_sums(readings: DataFrame) -> DataFrame:
+    """Partial sums of cost per minute, hour and day in one pass; `grain` says which a row belongs to.
 
     Grouping sets feed each reading to all three grains inside the task that parsed it, so there is one scan and one
     shuffle of partial sums. Write it with `partitionBy("grain")` for a table per grain.
@@ -141,12 +141,21 @@ def cost_grains(readings: DataFrame) -> DataFrame:
     sets = [[grain, *BY_DEVICE] for grain in COST_GRAINS]
     sums = timed.groupingSets(sets, *COST_GRAINS, *BY_DEVICE).agg(*COST.partials())
     names = [F.when(F.col(grain).isNotNull(), grain) for grain in COST_GRAINS]
-    return sums.select(
-        F.coalesce(*COST_GRAINS).alias("timestamp"),
-        *BY_DEVICE,
-        COST.total().alias("total_cost"),
-        F.coalesce(*names).alias("grain"),
-    )
+    return sums.select(F.coalesce(*COST_GRAINS).alias("timestamp"), *BY_DEVICE, *COST.parts, F.coalesce(*names).alias("grain"))
+
+
+def grain_report(sums: DataFrame) -> DataFrame:
+    return sums.select("timestamp", *BY_DEVICE, COST.total().alias("total_cost"), "grain")
+
+
+def cost_grains(readings: DataFrame) -> DataFrame:
+    """Cost per minute, hour and day in one pass."""
+    return grain_report(grain_sums(readings))
+
+
+def added_grains(deltas: DataFrame) -> DataFrame:
+    """Cost per grain from partial sums of any number of batches, in any order: they add up."""
+    return grain_report(deltas.groupBy("timestamp", *BY_DEVICE, "grain").agg(*COST.merged()))
 
 
 def grown(table: DataFrame, rows: DataFrame) -> DataFrame:

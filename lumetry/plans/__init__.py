@@ -1,3 +1,3 @@
-from .pipelines import PIPELINES, cost_cascade, landed_costs
+from .pipelines import COMMITTED, LANDED, PIPELINES, cost_cascade, cost_deltas, landed_checked, landed_costs
 
-__all__ = ["PIPELINES", "cost_cascade", "landed_costs"]
+__all__ = ["COMMITTED", "LANDED", "PIPELINES", "cost_cascade", "cost_deltas", "landed_checked", "landed_costs"]

@@ -1,8 +1,10 @@
 """The pipelines, from messages to the flows a runner starts.
 
-Each flow reads the messages by itself and has its own checkpoint, so one that fails does not hold up the others.
-`landed_costs` and `cost_cascade` are other shapes: the messages are read once, and each grain reads the landed readings,
-or the table of the grain below. The cascade keeps minutes open for a day; the landed readings cost a table instead.
+Three shapes. In PIPELINES each flow reads the messages by itself and has its own checkpoint, so one that fails does not
+hold up the others, and every flow parses the messages anew. In LANDED the first flow parses them once and lands them as
+Parquet, which the others read. In COMMITTED one flow without state parses a batch once and commits it together with its
+partial sums, which readers add up. (`cost_cascade`, where each grain reads the table of the grain below and minutes stay
+open for a day, is kept for those who need closed windows only.)
 """
 
 from __future__ import annotations
@@ -16,15 +18,14 @@ from ..functions.measures import COST
 from ..functions.parsing import (
     device_costs,
     device_readings,
-    elements,
     lamp_readings,
     meter_readings,
     parse,
     position,
     timed,
-    with_parse_status,
 )
-from ..operators.quality import out_of_band_rate
+from ..functions.variants import as_variants, variant_elements, variant_readings
+from ..operators.quality import drop_resent_at_once, out_of_band_rate
 from ..operators.summaries import (
     BY_CITY,
     BY_DEVICE,
@@ -35,6 +36,7 @@ from ..operators.summaries import (
     windowed_sums,
 )
 from ..schemas import DEVICE_FLOAT, LAMP_BAND, METER
+from ..sinks.deltas import delta_grains
 from ..sinks.tables import Sink, create_if_missing, parquet, revisions
 from ..streaming.runner import Flow, run_available
 
@@ -62,7 +64,10 @@ def meter_5m(messages: DataFrame) -> list[Flow]:
 
 def city(messages: DataFrame) -> list[Flow]:
     """City summaries per minute and per five minutes, both from the readings."""
-    readings = meter_readings(messages)
+    return _city(meter_readings(messages))
+
+
+def _city(readings: DataFrame) -> list[Flow]:
     return [
         Flow("city_1m", meter_summary(readings, "1 minute", BY_CITY, "1 minute"), "update", "60 seconds"),
         Flow("city_5m", meter_summary(readings, "5 minutes", BY_CITY, "5 minutes"), "update", "300 seconds"),
@@ -88,16 +93,20 @@ def cost(messages: DataFrame) -> list[Flow]:
 def lamp(messages: DataFrame) -> list[Flow]:
     """Lamp readings as they come, and per minute and city the share of those outside the usual power range."""
     readings = lamp_readings(messages)
+    return [Flow("raw_lamp", readings), _lamp_band(readings)]
+
+
+def _lamp_band(readings: DataFrame) -> Flow:
     rate = out_of_band_rate(readings, "1 minute", BY_CITY, "timestamp", "watt", LAMP_BAND, delay="1 minute")
-    return [Flow("raw_lamp", readings), Flow("lamp_band_1m", rate, "append", "60 seconds")]
+    return Flow("lamp_band_1m", rate, "append", "60 seconds")
 
 
 def checked_device(messages: DataFrame) -> list[Flow]:
     """Device readings that are as they should be, and all other messages with what is wrong with them.
 
-    Messages may hold arrays. Every element goes to one of the two.
+    Messages may hold arrays. Every element goes to one of the two, and an array without elements to the second.
     """
-    checked = with_parse_status(elements(messages), DEVICE_FLOAT)
+    checked = variant_readings(variant_elements(as_variants(messages)), DEVICE_FLOAT)
     good = timed(checked.where("status = 'ok'").drop("value", "status"), "STIME")
     return [Flow("raw_checked", good), Flow("raw_quarantine", checked.where("status <> 'ok'").select("value", "status"))]
 
@@ -121,23 +130,82 @@ PIPELINES: dict[str, Callable[[DataFrame], list[Flow]]] = {
 }
 
 
-def landed_costs(spark: SparkSession, messages: DataFrame, path: str) -> list[tuple[Flow, Sink]]:
+Flows = list[tuple[Flow, Sink]]
+
+
+def _landed(spark: SparkSession, flow: Flow, path: str) -> tuple[tuple[Flow, Sink], DataFrame]:
+    """A flow that lands typed rows below `path`, and what it lands as a stream."""
+    table = f"{path}/{flow.name}"
+    create_if_missing(spark, table, flow.frame.schema)
+    landed = spark.readStream.schema(flow.frame.schema).option("maxFileAge", "3650d").parquet(table)
+    return (flow, parquet(table)), landed
+
+
+def _onward(flows: list[Flow], path: str) -> Flows:
+    return [(flow, (revisions if flow.mode == "update" else parquet)(f"{path}/{flow.name}")) for flow in flows]
+
+
+def landed_costs(spark: SparkSession, messages: DataFrame, path: str) -> Flows:
     """Device readings and their cost per minute, hour and day, with every message parsed once.
 
     The raw flow lands typed Parquet below `path`; each grain reads the four columns it needs of that and keeps windows
     open for a time of its own, so state is as small as with separate readers. Start all of them together, or the raw flow
     first over what is there.
     """
-    readings = device_readings(messages)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema)
-    create_if_missing(spark, f"{path}/raw_device", ddl)
-    landed = spark.readStream.schema(ddl).option("maxFileAge", "3650d").parquet(f"{path}/raw_device")
+    raw, landed = _landed(spark, Flow("raw_device", device_readings(messages)), path)
     columns = landed.select("STIME", *BY_DEVICE, "COST")
-    flows: list[tuple[Flow, Sink]] = [(Flow("raw_device", readings), parquet(f"{path}/raw_device"))]
-    for name, grain in COST_GRAINS.items():
-        flow = Flow(f"cost_{name}", cost_summary(columns, grain, grain), "update", grain)
-        flows.append((flow, revisions(f"{path}/cost_{name}")))
-    return flows
+    grains = [Flow(f"cost_{name}", cost_summary(columns, grain, grain), "update", grain) for name, grain in COST_GRAINS.items()]
+    return [raw, *_onward(grains, path)]
+
+
+def landed_city(spark: SparkSession, messages: DataFrame, path: str) -> Flows:
+    """Meter readings, and city summaries per minute and per five minutes, with every message parsed once."""
+    raw, landed = _landed(spark, Flow("raw_meter", meter_readings(messages)), path)
+    return [raw, *_onward(_city(landed), path)]
+
+
+def landed_lamp(spark: SparkSession, messages: DataFrame, path: str) -> Flows:
+    """Lamp readings, and the share of those out of band per minute and city, with every message parsed once."""
+    raw, landed = _landed(spark, Flow("raw_lamp", lamp_readings(messages)), path)
+    return [raw, *_onward([_lamp_band(landed)], path)]
+
+
+def landed_checked(spark: SparkSession, messages: DataFrame, path: str) -> Flows:
+    """Messages as VARIANT, parsed once; from these the device readings that are as they should be, all other messages with
+    what is wrong with them, and the cost of the good ones per hour.
+
+    Messages may hold arrays. Every element goes to one of the two, and an array without elements to the second. The
+    text is landed where it is no JSON, or else its content only.
+    """
+    sent = as_variants(messages).withColumn("value", F.when(F.col("content").isNull(), F.col("value")))
+    raw, landed = _landed(spark, Flow("raw_messages", sent), path)
+    known = landed.withColumn("value", F.coalesce("value", F.to_json("content")))
+    checked = variant_readings(variant_elements(known), DEVICE_FLOAT)
+    good = Flow("raw_checked", timed(checked.where("status = 'ok'").drop("value", "status"), "STIME"))
+    bad = Flow("raw_quarantine", checked.where("status <> 'ok'").select("value", "status"))
+    good_ones, readings = _landed(spark, good, path)
+    cost_1h = Flow("cost_1h", cost_summary(readings.select("STIME", *BY_DEVICE, "COST"), "1 hour", "1 hour"), "update", "1 hour")
+    return [raw, good_ones, *_onward([bad, cost_1h], path)]
+
+
+LANDED: dict[str, Callable[[SparkSession, DataFrame, str], Flows]] = {
+    "landed_costs": landed_costs,
+    "landed_city": landed_city,
+    "landed_lamp": landed_lamp,
+    "landed_checked": landed_checked,
+}
+
+
+def cost_deltas(messages: DataFrame, path: str, resent: str | None = None) -> Flows:
+    """Device readings and their cost per minute, hour and day in one flow, added up batch by batch: no window closes, and
+    no reading is late. `resent` is how far apart copies of a reading may be sent, to count each once; that takes state."""
+    readings = device_readings(messages)
+    if resent:
+        readings = drop_resent_at_once(readings, "STIME", resent)
+    return [(Flow("cost_deltas", readings), delta_grains(f"{path}/cost_deltas"))]
+
+
+COMMITTED: dict[str, Callable[[DataFrame, str], Flows]] = {"cost_deltas": cost_deltas}
 
 
 def cost_cascade(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str) -> dict[str, DataFrame]:

@@ -29,4 +29,5 @@ METER_SUMMARY = """
     timestamp STRING, id STRING, city STRING, total_watt BIGINT, total_volt BIGINT, total_amphere DOUBLE,
     avg_watt DOUBLE, avg_volt DOUBLE, avg_amphere DOUBLE
 """
+CITY_SUMMARY = METER_SUMMARY.replace("id STRING, ", "")
 COST_SUMMARY = "timestamp TIMESTAMP, DID INT, DSN STRING, total_cost DOUBLE"

@@ -1,8 +1,8 @@
 """Stream sinks. Each call returns a function that sets up a `DataStreamWriter`.
 
 Executors write in parallel and a batch that fails fails the query, so Spark runs it again from the checkpoint. A
-sink must not show the second run as more rows: file sinks keep a log of finished batches, `revisions` writes each
-batch to a folder of its own and replaces it.
+sink must not show the second run as more rows: file sinks keep a log of finished batches, `revisions` commits each
+batch when all of it is written.
 """
 
 from __future__ import annotations
@@ -12,13 +12,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from ..operators.revisions import latest_revision
+from .commits import Staged, committed, read_committed
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
-FILES = 8  # that a batch of revisions writes
-
 
 def console(truncate: bool = False) -> Sink:
     return lambda writer: writer.format("console").option("truncate", truncate)
@@ -63,19 +63,20 @@ def document_store(connector: str, key: Sequence[str] = (), **options: str) -> S
     return lambda writer: writer.foreachBatch(write)
 
 
-def revisions(path: str, files: int = FILES) -> Sink:
-    """Keep what each batch changed, as `day=<date>/batch_id=<n>` below `path`, the day being that of `timestamp`.
+def stage_revisions(batch: DataFrame, staged: Staged, files: int | None = None) -> None:
+    rows = _by_day(batch)
+    rows = rows.repartition(files) if files else rows.hint("rebalance", "day")
+    rows.write.partitionBy("day").parquet(staged.table("revisions"))
 
-    For update mode, which emits a window again whenever it changes. A batch that is run again replaces its folders,
-    so a new checkpoint, which counts batches from 0, needs a new path. `files` bounds the files per batch: one for
-    each state partition would be millions a day.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = _by_day(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        _replacing(rows.repartition(files)).partitionBy("day", "batch_id").parquet(path)
+def revisions(path: str, files: int | None = None) -> Sink:
+    """Keep what each batch changed, in folders per day (that of `timestamp`), and commit it when all of it is written.
 
-    return lambda writer: writer.foreachBatch(write)
+    For update mode, which emits a window again whenever it changes. A batch that failed halfway is not seen and one that
+    is run again replaces itself; a new checkpoint counts batches from 0 again, as a later run. Batches are written in
+    as many tasks as their size asks for, or in `files`.
+    """
+    return committed(path, lambda batch, staged: stage_revisions(batch, staged, files))
 
 
 def _by_day(rows: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def _replacing(rows: DataFrame) -> DataFrameWriter:
     return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def create_if_missing(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> None:
+def create_if_missing(spark: SparkSession, path: str, schema: str | StructType, kind: str = "parquet") -> None:
     """An empty table with this schema, unless there is one."""
     spark.createDataFrame([], schema).write.format(kind).mode("ignore").save(path)
 
@@ -95,8 +96,8 @@ def create_if_missing(spark: SparkSession, path: str, schema: str, kind: str = "
 def read_revisions(
     spark: SparkSession, path: str, schema: str, days: tuple[str, str] | None = None
 ) -> DataFrame:
-    """All revisions with their `batch_id`, or those of windows from the first to the last of two days."""
-    rows = spark.read.schema(f"{schema}, day DATE, batch_id BIGINT").parquet(path)
+    """All revisions with their `run_id` and `batch_id`, or those of windows from the first to the last of two days."""
+    rows = read_committed(spark, path, "revisions", f"{schema}, day DATE")
     return (rows.where(F.col("day").between(*days)) if days else rows).drop("day")
 
 
@@ -109,4 +110,4 @@ def compact(
     closed days are settled once and then left alone.
     """
     _replacing(_by_day(latest_revision(read_revisions(spark, path, schema, days), keys))).partitionBy("day").parquet(target)
-    return spark.read.schema(f"{schema}, batch_id BIGINT, day DATE").parquet(target).drop("day")
+    return spark.read.schema(f"{schema}, run_id BIGINT, batch_id BIGINT, day DATE").parquet(target).drop("day")

@@ -1,3 +1,4 @@
+from .progress import Progress, ProgressLog, progress_log
 from .runner import Flow, await_any, run_available, start
 
-__all__ = ["Flow", "await_any", "run_available", "start"]
+__all__ = ["Flow", "Progress", "ProgressLog", "await_any", "progress_log", "run_available", "start"]
