@@ -8,8 +8,10 @@ of the text, since the time up to which darts are thrown shrinks with the text's
 
 Equal texts are one class, compared once. Classes that agree on a band of coordinates share a bucket. Its members are
 compared with one leader, and only members of one bucket that are still in different components after that with each
-other: their signatures first, inside the bucket, and the texts of those pairs alone whose signatures agree. A bucket of
-more than some thousand such members is cut into blocks, and each pair of blocks is compared in a task of its own.
+other, inside the bucket: their signatures first, and then exactly, with the texts of those alone whose signature is like
+another's. A bucket gives no more links than tie its members together, so what is moved grows with the members and not with
+their pairs. A bucket of more than some thousand such members is cut into blocks, and each pair of blocks is compared in a
+task of its own.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, digest, mix, partitions, settled, spans, words_of
+from .common import U64, blocks, digest, gathered, mix, partitions, settled, spans, words_of
 from .graph import components
 
 WORDS = 5
@@ -30,7 +32,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4  # two texts of similarity 0.8 share no band with a probability of (1 - 0.8**4)**32 = 5e-8
 COORDINATES = 3 * BANDS * ROWS  # the bands take the first third; all are used to estimate similarities
 DEVIATIONS = 6  # pairs whose estimate is so many standard deviations below the similarity are not compared: one in 10**9
-BUCKET = 4096  # members of a bucket, or of a block of a larger one, that are compared with each other in one task
+BUCKET = 4096  # members of a bucket, or of a block of a larger one, that are compared with each other in one task;
+SHINGLES = 512  # a text of more shingles counts for as many members as it has times so many
 BLOCK = 1 << 18  # characters handled at a time
 
 # Time is cut into cells: at first ever longer ones, up to half a dart for each unit of weight, then cells of one dart.
@@ -139,12 +142,14 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int, counted: bool) -> Ite
     for batch in batches:
         texts = [t or "" for t in batch.column(2).to_pylist()]
         prints: list[bytes | None] = []
+        sizes: list[int] = []
         for part in blocks(texts, BLOCK):
             elements, weights, edges = shingles(texts[part], words, counted)
             rows = signatures(elements, weights, edges)
             prints += [row.tobytes() if b > a else None for row, a, b in zip(rows, edges[:-1], edges[1:])]
-        columns = [batch.column(0), batch.column(1), pa.array(prints, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "prints"])
+            sizes += np.diff(edges).tolist()
+        columns = [batch.column(0), batch.column(1), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "prints", "size"])
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -192,49 +197,95 @@ def least_estimate(similarity: float) -> float:
     return similarity - DEVIATIONS * float(np.sqrt(similarity * (1 - similarity) / COORDINATES))
 
 
-def _bucket_pairs(ids: np.ndarray, parts: np.ndarray, sides: np.ndarray, prints: np.ndarray, band: int, least: float) -> np.ndarray:
-    """The pairs of one bucket that are in different components and whose prints agree on that share of coordinates.
+def _candidates(i: int, parts: np.ndarray, sides: np.ndarray, prints: np.ndarray, band: int, least: float) -> np.ndarray:
+    """The later members of a bucket that are in another component than the i-th and whose prints agree with its own on
+    that share of coordinates.
 
     Sides are 0 in a bucket or block that is compared with itself, or 1 and 2 in two blocks that are compared with each
     other. A pair that shares several bands is found in the first of them only.
     """
-    words = np.ascontiguousarray(prints).view("<u8")  # ROWS prints are one word: the bands come first
-    found = []
-    for i in range(len(ids) - 1):
-        apart = (parts[i + 1 :] != parts[i]) & ((sides[i] == 0) | (sides[i + 1 :] != sides[i]))
-        rest = np.flatnonzero(apart) + i + 1
-        near = rest[np.count_nonzero(prints[rest] == prints[i], axis=1) >= least * prints.shape[1]]
-        if band > 0:
-            near = near[~(words[near, :band] == words[i, :band]).any(1)]
-        found.append(np.stack([np.full(len(near), ids[i]), ids[near]], 1))
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-
-
-def _bucketed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """_bucket_pairs of rows (key, band, id, component, side, prints) that come bucket by bucket."""
-
-    def paired(columns: list[np.ndarray]) -> pa.RecordBatch:
-        key, band, ids, parts, sides, prints = columns
+    apart = (parts[i + 1 :] != parts[i]) & ((sides[i] == 0) | (sides[i + 1 :] != sides[i]))
+    rest = np.flatnonzero(apart) + i + 1
+    near = rest[np.count_nonzero(prints[rest] == prints[i], axis=1) >= least * prints.shape[1]]
+    if band > 0:
+        words = prints.view("<u8")  # ROWS prints are one word: the bands come first
+        near = near[~(words[near, :band] == words[i, :band]).any(1)]
+    return near
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """The columns key, band, id, component, side, prints (and text) of one bucket after the other; rows come in order."""
+
+    def each(columns: list) -> Iterator[list]:
+        key = columns[0]
         edges = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-        each = [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
-        pairs = [_bucket_pairs(ids[x], parts[x], sides[x], prints[x], int(band[x.start]), least) for x in each]
-        pair = np.sort(np.concatenate(pairs), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield [c[a:b] for c in columns]
 
-    kept: list[np.ndarray] | None = None
+    kept: list | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(i).to_numpy() for i in range(5)]
+        columns: list = [batch.column(i).to_numpy() for i in range(5)]
         columns.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), "<u2").reshape(batch.num_rows, -1))
+        if batch.num_columns > 6:
+            columns.append(np.array(batch.column(6).to_pylist(), object))
         if kept is not None:
             columns = [np.concatenate(pair) for pair in zip(kept, columns)]
         last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last bucket may go on in the next batch
         if last:
-            yield paired([c[:last] for c in columns])
+            yield from each([c[:last] for c in columns])
         kept = [c[last:] for c in columns]
     if kept is not None:
-        yield paired(kept)
+        yield from each(kept)
+
+
+def _involved(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """The rows key, band, id, component and side of members that have a candidate in their bucket."""
+    for key, band, ids, parts, sides, prints in _buckets(batches):
+        some = np.zeros(len(ids), bool)
+        for i in range(len(ids) - 1):
+            near = _candidates(i, parts, sides, prints, int(band[0]), least)
+            some[near] = True
+            some[i] |= len(near) > 0
+        if some.any():
+            columns = [pa.array(c[some]) for c in (key, band, ids, parts, sides)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "band", "id", "component", "side"])
+
+
+def _joined(
+    batches: Iterator[pa.RecordBatch], words: int, counted: bool, similarity: float, least: float
+) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that tie the similar members of each bucket together: no more than the bucket has members.
+
+    A candidate is compared exactly, by its shingles, unless links found before have put both into one component.
+    """
+    for _, band, ids, parts, sides, prints, texts in _buckets(batches):
+        found: list[np.ndarray] = []
+        sets = [shingles(list(texts[part]), words, counted) for part in blocks(list(texts), BLOCK)]
+        values, at = np.unique(np.concatenate([x[0] for x in sets]), return_inverse=True)
+        weights = np.concatenate([x[1] for x in sets])
+        edges = spans(np.concatenate([np.diff(x[2]) for x in sets]))
+        totals = np.add.reduceat(np.append(weights, 0.0), edges[:-1]) * (np.diff(edges) > 0)
+        own, parts = np.zeros(len(values)), parts.copy()
+        for i in range(len(ids) - 1):
+            near = _candidates(i, parts, sides, prints, int(band[0]), least)
+            if not len(near):
+                continue
+            mine = slice(edges[i], edges[i + 1])
+            own[at[mine]] = weights[mine]
+            sizes = np.diff(edges)[near]
+            both = gathered(edges[near], sizes)
+            shared = np.minimum(weights[both], own[at[both]])
+            shared = np.bincount(np.repeat(np.arange(len(near)), sizes), shared, len(near))
+            own[at[mine]] = 0.0
+            for j in near[shared >= similarity * (totals[near] + totals[i] - shared)].tolist():
+                if parts[j] != parts[i]:
+                    found.append(np.array([ids[i], ids[j]]))
+                    parts[parts == parts[j]] = parts[i]
+        if found:
+            pairs = np.stack(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def near_duplicates(
@@ -251,28 +302,33 @@ def near_duplicates(
     rows = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "coalesce(text, '') AS text").where("doc_id IS NOT NULL")
     rows = rows.select("doc_id", digest("text").alias("digest"), "text")
     signed = settled(
-        rows.mapInArrow(lambda b: _signed(b, words, counted), "doc_id LONG, digest BINARY, prints BINARY"), "signed"
+        rows.mapInArrow(lambda b: _signed(b, words, counted), "doc_id LONG, digest BINARY, prints BINARY, size LONG"), "signed"
     )
     # A class goes by its digest until the end, as one doc_id can have several texts.
-    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("prints").alias("prints"))
-    classes = settled(classes.withColumn("id", F.xxhash64("digest")), "classes")
-    members = classes.where("prints IS NOT NULL").select("id", F.posexplode(band_keys()).alias("band", "key"))
+    first = [F.first(c).alias(c) for c in ("prints", "size")]
+    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *first)
+    # Numbers are given when the table is written, and read from it ever after.
+    classes = settled(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    weight = F.ceil((F.col("size") + 1) / SHINGLES).alias("weight")
+    members = classes.where("prints IS NOT NULL").select("id", weight, F.posexplode(band_keys()).alias("band", "key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = settled(members.join(crowded, "key"), "members")
 
     prints = classes.select("id", "prints")
     texts = rows.select("doc_id", "digest", "text")
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """One text of each of these classes, found by its smallest doc_id."""
+        needed = ids.distinct().join(classes, "id").select("id", "doc_id", "digest")
+        return settled(texts.join(needed, ["doc_id", "digest"]).dropDuplicates(["id"]).select("id", "text"), "texts")
+
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of different pairs (a, b) whose texts are similar."""
         known = pairs.join(prints.select(F.col("id").alias("a"), F.col("prints").alias("x")), "a").join(
             prints.select(F.col("id").alias("b"), F.col("prints").alias("y")), "b"
         )
         near = settled(known.select("a", "b", "x", "y").mapInArrow(lambda b: _agreeing(b, estimate), "a LONG, b LONG"), "near")
-        needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct().join(classes, "id").select("id", "doc_id", "digest")
-        # One text of each class that takes part in a pair, found by its smallest doc_id.
-        found = texts.join(needed, ["doc_id", "digest"]).dropDuplicates(["id"])
-        found = settled(found.select("id", "text"), "texts")
+        found = texts_of(near.select(F.col("a").alias("id")).union(near.select("b")))
         both = near.join(found.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(
             found.select(F.col("id").alias("b"), F.col("text").alias("y")), "b"
         )
@@ -288,8 +344,10 @@ def near_duplicates(
         return pairs.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
 
     def mixed(crowd: DataFrame) -> DataFrame:
-        """The rows of buckets with more than one component in them, and the buckets' sizes."""
-        of_key = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        """The rows of buckets with more than one component in them, and the buckets' weights."""
+        of_key = crowd.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.sum("weight").alias("n")
+        )
         return crowd.join(of_key.where("low <> high").select("key", "n"), "key")
 
     def in_blocks(crowd: DataFrame) -> DataFrame:
@@ -297,7 +355,7 @@ def near_duplicates(
 
         A component of a block or more has blocks of its own, which are not compared with each other.
         """
-        sized = crowd.groupBy("key", "component").agg(F.count("*").alias("mine"))
+        sized = crowd.groupBy("key", "component").agg(F.sum("weight").alias("mine"))
         others = sized.where(F.col("mine") < bucket).groupBy("key").agg(F.sum("mine").alias("others"))
         alone = F.col("mine") >= bucket
         cuts = F.ceil(F.when(alone, F.col("mine")).otherwise(F.col("others")) / bucket)
@@ -320,22 +378,34 @@ def near_duplicates(
             F.col("task").alias("key"), "band", "id", "component", "side"
         )
 
+    def ordered(rows: DataFrame) -> DataFrame:
+        """The rows of each bucket one after the other."""
+        return rows.repartition(partitions(docs), "key").sortWithinPartitions("key", "side", "id")
+
     def across(group: DataFrame) -> DataFrame:
-        """Pairs of one bucket but of different components, whose signatures are alike."""
+        """Links that tie together members of one bucket but of different components.
+
+        Signatures are compared first, and only members whose signature is like another's get their text, once for each
+        bucket. Pairs are compared where their bucket is, and never become rows.
+        """
         placed = members.drop("n").join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        crowd = settled(mixed(placed).select("key", "band", "id", "component", "n"), "mixed")
+        crowd = settled(mixed(placed).select("key", "band", "id", "component", "weight", "n"), "mixed")
         rows = crowd.where(F.col("n") <= bucket).select("key", "band", "id", "component", F.lit(0).alias("side"))
         large = crowd.where(F.col("n") > bucket)
         if large.take(1):
             rows = rows.unionByName(in_blocks(large))
-        rows = rows.join(prints.select("id", "prints"), "id").select("key", "band", "id", "component", "side", "prints")
-        rows = rows.repartition(partitions(docs), "key").sortWithinPartitions("key", "side", "id")
-        return rows.mapInArrow(lambda b: _bucketed(b, estimate), "a LONG, b LONG").distinct()
+        row = "key LONG, band INT, id LONG, component LONG, side INT"
+        signed_rows = rows.join(prints, "id").select("key", "band", "id", "component", "side", "prints")
+        some = settled(ordered(signed_rows).mapInArrow(lambda b: _involved(b, estimate), row), "involved")
+        known = some.join(prints, "id").join(texts_of(some.select("id")), "id")
+        known = ordered(known.select("key", "band", "id", "component", "side", "prints", "text"))
+        links = known.mapInArrow(lambda b: _joined(b, words, counted, similarity, estimate), "a LONG, b LONG")
+        return settled(links, "links")
 
     tried = settled(led(members), "led")
     links = linked(tried)
     group = settled(components(links), "components")
-    more = linked(across(group))
+    more = across(group)
     if more.take(1):
         group = settled(components(links.union(more)), "components")
     smallest = group.join(classes, "id").groupBy("component").agg(F.min("doc_id").alias("group_id"))
