@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,16 +29,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame, name: str = "rows") -> DataFrame:
+_working: ContextVar[list[str] | None] = ContextVar("working", default=None)
+
+
+def settled(df: DataFrame, name: str = "rows", keep: bool = False) -> DataFrame:
     """`df`, written once to the shared folder and read again.
 
-    Cuts the lineage: what follows reads files that outlive any executor, and never computes `df` twice.
+    Cuts the lineage: what follows reads files that outlive any executor, and never computes `df` twice. Inside
+    `working_tables` the files go when that ends, but for those to `keep`.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
+    if not keep and (working := _working.get()) is not None:
+        working.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that operators settle inside it when it ends. Write an operator's result before that: Spark reads
+    those tables when the result is computed."""
+    made: list[str] = []
+    token = _working.set(made)
+    try:
+        yield
+    finally:
+        _working.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def partitions(df: DataFrame) -> int:
     """The number of partitions that the session shuffles into."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -46,6 +69,14 @@ def empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores before it as it takes to be none of these, whatever their case."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def digest(column: str | F.Column) -> F.Column:
     """128 bits of a value: equal values have equal digests, and no two others are expected to."""
     return F.unhex(F.substring(F.sha2(F.encode(column, "utf-8"), 256), 1, 32))

@@ -2,14 +2,18 @@
 
 A gear hash rolls over the bytes of a text; a chunk ends where the hash of the last sixteen bytes is low, and at the end
 of a line. So the cuts depend on what stands around them only, and a passage is cut alike wherever it stands and whatever
-was inserted before.
-Chunks are de-duplicated by digest: of equal chunks the first one (lowest doc_id, then place) counts as the original.
-
-A repeat that starts or ends inside a chunk is completed from the texts themselves: beyond a run of repeated chunks the
-bytes are compared with those around the original. Runs of fewer than fifty words are left alone.
-
-A repeat is found if at least one whole chunk lies in it. Fifty words of 300 bytes hold none with a probability of about
-one in five hundred where no line ends in them; those are missed.
+was inserted before. Chunks are de-duplicated by digest: of equal chunks the first one (lowest doc_id, then place) counts as
+the original.
+
+Chunks of a text that follow each other as their originals do in one other text are a piece of one repeat. Whatever part
+of a chunk belongs to the repeat as well is found from the texts themselves: at both ends of a piece the bytes are compared
+with those around its original, so a piece also grows over chunks whose own original stands elsewhere. Pieces that meet in
+the same place of the same text are one repeat, others are not, however close they stand; repeats of fewer than fifty words
+are left alone.
+
+A repeat is found if some chunk that lies in it whole has its original in a text that holds the repeat. Fifty words of 300
+bytes hold no whole chunk with a probability of about one in a thousand where no line ends in them, those of 200 bytes with
+one of about one in seventy; a repeat all of whose chunks stand in still earlier texts, each in another place, is missed too.
 """
 
 from __future__ import annotations
@@ -22,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORD_BYTE, blocks, gathered, mix, settled, span_hashes, spans
+from .common import U64, WORD_BYTE, blocks, fresh, gathered, mix, settled, span_hashes, spans
 
 ROLL = 16  # bytes that the gear hash looks back
 MEAN_CHUNK = 32  # bytes between two cuts, on average
 CLOSE = 4  # a cut at most so many bytes after another is none, but at the end of a line
 LONGEST_CHUNK = 256  # where no cut comes, as in a word said over and over, one is made after so many bytes
-SEED = 24  # bytes of a run of repeated chunks that are no chance: a shorter one is not continued to a repeat
 LEAST_WORDS = 50  # repeats of fewer words stay
-CONTEXT = 512  # bytes around an original that a repeat can be continued into: sixteen times the mean chunk
+CONTEXT = 256  # bytes around an original that a piece can be continued into: the longest chunk, or eight of the mean length
+HOT = 200  # a chunk that makes up more than this share (one of so many) of all repeated ones is joined in as many shares
 BLOCK = 1 << 18
 REMOVED, SPANS = "removed_words", "removed_spans"
 
@@ -66,10 +70,30 @@ def gear_cuts(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return starts
 
 
+# The place of a chunk as one number, in whose order chunks of a text stand: its first byte, its length, the words that begin
+# in it, and those in the chunk before and after it (NO_CHUNK where there is none).
+NO_CHUNK = 255
+START, LENGTH = "shiftright(place, 33)", "(shiftright(place, 24) & 511)"
+WORDS, BEFORE, AFTER = ("(shiftright(place, 16) & 255)", "(shiftright(place, 8) & 255)", "(place & 255)")
+
+
+def chunk_places(data: np.ndarray, edges: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    lengths = np.diff(np.append(starts, len(data)))
+    inside = WORD_BYTE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begins[edges[:-1][edges[:-1] < len(data)]] = inside[edges[:-1][edges[:-1] < len(data)]]
+    words = np.add.reduceat(begins, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
+    before, after = np.full(len(starts), NO_CHUNK), np.full(len(starts), NO_CHUNK)
+    same = np.flatnonzero(owner[1:] == owner[:-1])
+    before[same + 1], after[same] = words[same], words[same + 1]
+    return (starts - edges[owner]) << 33 | lengths << 24 | words << 16 | before << 8 | after
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = np.array(batch.column(0).to_pylist(), np.int64)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
+        ids, ties = (batch.column(i).to_numpy() for i in (0, 1))
+        texts = batch.column(2).to_pylist()
         for part in blocks(texts, BLOCK):
             encoded = [t.encode() for t in texts[part]]
             edges = spans(np.fromiter(map(len, encoded), np.int64, len(encoded)))
@@ -77,26 +101,27 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = gear_cuts(data, edges)
             ends = np.append(starts[1:], len(data))
             owner = np.searchsorted(edges, starts, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(span_hashes(data, starts, ends).view(np.int64)), pa.array(ids[part][owner])]
-                + [pa.array((starts - edges[owner]).astype(np.int32)), pa.array((ends - starts).astype(np.int32))],
-                names=["digest", "doc_id", "start", "length"],
-            )
+            columns = [span_hashes(data, starts, ends).view(np.int64), ids[part][owner], ties[part][owner]]
+            columns.append(chunk_places(data, edges, starts, owner))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["digest", "id", "tie", "place"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes before or after the wanted places of a text."""
+    """The bytes before or after the wanted places of a text; once for rows that repeat it."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        rows = batch.select(["doc_id", "text", "wanted"]).to_pylist()
         found = []
-        for row in rows:
-            data = (row["text"] or "").encode()
-            for w in row["wanted"]:
-                at = w["place"]
-                found.append((row["doc_id"], at, w["before"], data[max(0, at - CONTEXT) : at] if w["before"] else data[at : at + CONTEXT]))
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+        for of, tie, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if (of, tie) in seen:
+                continue
+            seen.add((of, tie))
+            data = text.encode()
+            for w in wanted:
+                at = w["at"]
+                found.append((of, tie, at, w["before"], data[max(0, at - CONTEXT) : at] if w["before"] else data[at : at + CONTEXT]))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names=["of", "place", "before", "context"])
+        yield pa.RecordBatch.from_arrays(columns, names=["of", "of_tie", "at", "before", "context"])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -118,32 +143,41 @@ def _words(data: bytes) -> int:
 
 
 def repeats(data: bytes, ends: list[dict], least: int) -> list[tuple[int, int]]:
-    """The spans of bytes to remove: runs of repeated chunks, continued as far as the original goes on alike, joined
-    where they touch, cut back to whole words, and only those of at least so many words.
+    """The spans of bytes to remove: pieces, continued as far as their original goes on alike, joined where they meet on
+    the same original, cut back to whole words, and only those of at least so many words.
 
-    ends: two for each run, with its first and last + 1 bytes; `before` and the bytes before the original of its first
-    chunk, or not `before` and those after the original of its last.
+    ends: two for each piece, with the original's text (of, of_tie) and its distance (shift), the piece's first and last + 1
+    bytes, and `before` with the bytes before the original, or not `before` with those after it.
     """
-    grown: list[list[int]] = []
-    for end in sorted(ends, key=lambda e: (e["first"], not e["before"])):
+    pieces: dict[tuple, list[int]] = {}
+    for end in ends:
         first, last, context = end["first"], end["last"], end["context"] or b""
+        piece = pieces.setdefault((end["of"], end["of_tie"], end["shift"], first, last), [first, last])
         if end["before"]:
-            first -= _common(data[max(0, first - CONTEXT) : first][::-1], context[::-1])
+            piece[0] = first - _common(data[max(0, first - CONTEXT) : first][::-1], context[::-1])
         else:
-            last += _common(data[last : last + CONTEXT], context)
-        if grown and first <= grown[-1][1]:
-            grown[-1][1] = max(grown[-1][1], last)
+            piece[1] = last + _common(data[last : last + CONTEXT], context)
+    found: list[list[int]] = []
+    now = None
+    for (*origin, _, _), (first, last) in sorted(pieces.items(), key=lambda item: (item[0][:3], item[1])):
+        if origin == now and first <= found[-1][1]:
+            found[-1][1] = max(found[-1][1], last)
         else:
-            grown.append([first, last])
-    result = []
-    for first, last in grown:
+            found.append([first, last])
+        now = origin
+    result: list[tuple[int, int]] = []
+    for first, last in sorted(found):
         while first < last and _is_word(data, first) and _is_word(data, first - 1):
             first += 1
         while first < last and _is_word(data, last - 1) and _is_word(data, last):
             last -= 1
         if first < last and _words(data[first:last]) >= least:
-            result.append((first, last))
-    return result
+            if result and first <= result[-1][1]:
+                result[-1] = (result[-1][0], max(result[-1][1], last))
+            else:
+                result.append((first, last))
+    # Where words stand on both sides, what parts them stays.
+    return [(first + (_is_word(data, first - 1) and _is_word(data, last)), last) for first, last in result]
 
 
 def without(data: bytes, cuts: list[tuple[int, int]]) -> str:
@@ -154,39 +188,76 @@ def without(data: bytes, cuts: list[tuple[int, int]]) -> str:
     return b"".join([*parts, data[at:]]).decode()
 
 
-def repeated_runs(rows: DataFrame) -> DataFrame:
-    """doc_id, first, last, of, place, before: the two ends of every run of chunks that stand somewhere before as well.
+def repeated_pieces(rows: DataFrame, least: int) -> DataFrame:
+    """The ends of pieces of repeats in texts (id, tie, text): id, tie, first, last, of, of_tie, shift, before, at.
 
-    of and place: where the original of the run's first chunk begins, or that of its last chunk ends.
+    of, of_tie: the original's text; shift: from the piece to the original; at: the original's first byte if `before`, or
+    else its last + 1. An end at the edge of the text is given only if the other one is, too.
     """
-    chunks = rows.mapInArrow(_chunks, "digest LONG, doc_id LONG, start INT, length INT")
-    again = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    # A common chunk is folded to one row in each task before the shuffle; a join with a hot digest can be split.
-    shared = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("of")).where("n > 1").drop("n")
+    kinds = "digest LONG, id LONG, tie LONG, place LONG"
+    chunks = rows.mapInArrow(_chunks, kinds)
+    # A common chunk is folded to one row in each task before the shuffle.
+    shared = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("of")).where("n > 1")
     shared = settled(shared, "shared")
-    copies = settled(chunks.join(shared.hint("shuffle_hash"), "digest"), "copies")
-    originals = copies.where("doc_id = of").groupBy("digest").agg(F.min("start").alias("at"))
-    copies = copies.join(originals, "digest").where("doc_id <> of OR start <> at").join(again, "doc_id", "left_anti")
-    # Chunks that follow each other are one run, whatever their originals.
-    order = Window.partitionBy("doc_id").orderBy("start")
-    last = F.col("start") + F.col("length")
-    opens = F.coalesce(F.lag(last).over(order) != F.col("start"), F.lit(True))
-    numbered = copies.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(order))
-    runs = numbered.groupBy("doc_id", "run").agg(
-        F.min("start").alias("first"),
-        F.max(last).alias("last"),
-        F.min(F.struct("start", "of", "at")).alias("head"),
-        F.max(F.struct("start", "of", (F.col("at") + F.col("length")).alias("at"))).alias("tail"),
+    # No more than HOT chunks are so common: the rows of those are joined in as many shares.
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    common = F.broadcast(shared.where(F.col("n") * HOT > total).select("digest", F.lit(True).alias("hot")))
+    share = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "tie", "place"), F.lit(HOT))).otherwise(F.lit(0)).cast("int")
+    shares = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT - 1))).otherwise(F.array(F.lit(0)))
+
+    def dealt(table: DataFrame) -> DataFrame:
+        return table.join(common, "digest", "left").select(*table.columns, share.alias("share"))
+
+    def spread(table: DataFrame) -> DataFrame:
+        return table.join(common, "digest", "left").select(*table.columns, F.explode(shares).alias("share"))
+
+    copies = dealt(chunks).join(spread(shared.drop("n")).hint("shuffle_hash"), ["digest", "share"])
+    copies = settled(copies, "copies")
+    originals = copies.where("id = of").groupBy("digest").agg(F.min(F.struct("tie", "place")).alias("first"))
+    start = F.expr(START)
+    originals = originals.select("digest", F.col("first.tie").alias("of_tie"), F.expr(START.replace("place", "first.place")).alias("at"))
+    originals = settled(originals, "originals")
+    own = (F.col("id") == F.col("of")) & (F.col("tie") == F.col("of_tie"))
+    copies = copies.join(spread(originals), ["digest", "share"]).where(~(own & (start == F.col("at"))))
+    # Rows that repeat both doc_id and text are one text here.
+    copies = copies.select("id", "tie", "place", "of", "of_tie", "at").repartition("id", "tie")
+    copies = copies.groupBy("id", "tie", "place").agg(*(F.min(c).alias(c) for c in ("of", "of_tie", "at")))
+    last = (start + F.expr(LENGTH)).alias("last")
+    copies = copies.select(
+        "id", "tie", "of", "of_tie", start.alias("first"), last, (F.col("at") - start).alias("shift"),
+        F.expr(WORDS).alias("words"), F.expr(BEFORE).alias("words_before"), F.expr(AFTER).alias("words_after"),
+    )
+    order = Window.partitionBy("id", "tie").orderBy("first")
+    meets = F.coalesce(F.lag("last").over(order) == F.col("first"), F.lit(False))
+    same = meets & F.coalesce(F.lag(F.struct("of", "of_tie", "shift")).over(order) == F.struct("of", "of_tie", "shift"), F.lit(False))
+    numbered = copies.withColumn("opens", (~meets).cast("int")).withColumn("turns", (~same).cast("int"))
+    numbered = numbered.withColumn("run", F.sum("opens").over(order)).withColumn("piece", F.sum("turns").over(order))
+    # A repeat lies in a run of repeated chunks and those next to it: with too few words in all, there is none.
+    of_run = Window.partitionBy("id", "tie", "run")
+    edge = F.when(F.col("words_before") < NO_CHUNK, F.col("words_before")).otherwise(0)
+    rim = F.when(F.col("words_after") < NO_CHUNK, F.col("words_after")).otherwise(0)
+    room = F.sum("words").over(of_run) + F.min_by(edge, "first").over(of_run) + F.max_by(rim, "first").over(of_run)
+    numbered = numbered.withColumn("room", room).where(F.col("room") >= least)
+    pieces = numbered.groupBy("id", "tie", "piece").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        *(F.first(c).alias(c) for c in ("of", "of_tie", "shift")),
+        F.min_by("words_before", "first").alias("words_before"),
+        F.max_by("words_after", "first").alias("words_after"),
     )
-    runs = runs.where(F.col("last") - F.col("first") >= SEED)
     ends = F.array(
-        F.struct(F.col("head.of").alias("of"), F.col("head.at").alias("place"), F.lit(True).alias("before")),
-        F.struct(F.col("tail.of").alias("of"), F.col("tail.at").alias("place"), F.lit(False).alias("before")),
+        F.struct(F.lit(True).alias("before"), (F.col("first") + F.col("shift")).alias("at")),
+        F.struct(F.lit(False).alias("before"), (F.col("last") + F.col("shift")).alias("at")),
     )
-    return settled(runs.select("doc_id", "first", "last", F.inline(ends)), "runs")
+    # Where the text ends there is nothing to continue.
+    within = F.when(F.col("end.before"), F.col("words_before")).otherwise(F.col("words_after")) < NO_CHUNK
+    pieces = pieces.withColumn("end", F.explode(ends)).select(
+        "id", "tie", "first", "last", "of", "of_tie", "shift", "end.before", F.when(within, F.col("end.at")).alias("at")
+    )
+    return settled(pieces, "pieces")
 
 
-def _rewritten(batches: Iterator[pa.RecordBatch], at: int, least: int) -> Iterator[pa.RecordBatch]:
+def _rewritten(batches: Iterator[pa.RecordBatch], at: int, least: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Texts without their repeats; the last two columns are the number of removed words and the spans."""
     for batch in batches:
         texts, ends = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
@@ -203,34 +274,39 @@ def _rewritten(batches: Iterator[pa.RecordBatch], at: int, least: int) -> Iterat
         columns = [batch.column(k) for k in range(batch.num_columns - 1)]
         columns[at] = pa.array(texts, batch.schema.field(at).type)
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        names = [*batch.schema.names[:-1], REMOVED, SPANS]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(found, kind)], names=names)
 
 
 def deduplicated(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """`docs` with all columns, the text without repeats, and two more: REMOVED, the number of words taken out, and SPANS,
-    where they stood (bytes, first and last + 1).
-
-    What is taken out repeats, byte by byte, text that stands at an earlier place (lower doc_id, or before in the same
-    text), and has at least so many words; a copy of a whole text leaves an empty one. Rows without a doc_id, with a null
-    or empty text, and rows that repeat a doc_id stay as they are. Texts are not shortened by cuts inside words.
+    """`docs` with all columns, the text without repeats, and two more, the last: REMOVED, the number of words taken out, and
+    SPANS, where they stood (bytes, first and last + 1). Where `docs` has columns of these names, the new ones begin with an
+    underscore, or as many as it takes.
+
+    What is taken out repeats, byte by byte and as one passage of at least so many words, text that stands at an earlier
+    place (lower doc_id, or before in the same text); a copy of a whole text leaves an empty one. Texts without a doc_id
+    come last. Rows that repeat a doc_id with another text are texts of their own, in the order of a hash of the text; rows
+    that repeat both are one text, and get the same result. A null or empty text stays. Cuts are never made inside words.
     """
-    known = docs.where("doc_id IS NOT NULL")
-    rows = known.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").where("text <> ''")
-    ends = repeated_runs(rows)
-    again = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    taken = docs.columns
+    removed, found, id_, tie, ends = (fresh(name, taken) for name in (REMOVED, SPANS, "id", "tie", "ends"))
+    at = next(i for i, name in enumerate(taken) if name.lower() == "text")
+    known = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias(id_))
+    # Where every row has a doc_id of its own, which one look at the ids tells, nothing else is needed to know a text by.
+    repeated = known.groupBy(id_).agg(F.count("*").alias("n")).where("n > 1").take(1)
+    known = known.withColumn(tie, F.xxhash64("text") if repeated else F.lit(0).cast("long"))
+    rows = known.where(F.col("text") != "").select(F.col(id_).alias("id"), F.col(tie).alias("tie"), F.col("text").alias("text"))
+    pieces = repeated_pieces(rows, least)
     # The bytes at each place are looked up once, however many repeat it. Both joins deal the texts out alike, so Spark
     # shuffles them once.
-    wanted = ends.select("of", "place", "before").distinct().join(again, F.col("of") == F.col("doc_id"), "left_anti")
-    wanted = wanted.groupBy(F.col("of").alias("doc_id")).agg(F.collect_list(F.struct("place", "before")).alias("wanted"))
-    contexts = known.join(wanted, "doc_id").mapInArrow(_contexts, "of LONG, place INT, before BOOLEAN, context BINARY")
-    completed = ends.join(contexts, ["of", "place", "before"], "left")
-    of_text = completed.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last", "before", "context")).alias("__ends"))
-    at = docs.columns.index(next(name for name in docs.columns if name.lower() == "text"))
-    ordered = known.join(of_text, "doc_id", "left").select(*(known[name] for name in docs.columns), "__ends")
+    place = ["of", "of_tie", "at", "before"]
+    wanted = pieces.where("at IS NOT NULL").select(*place).distinct()
+    wanted = wanted.groupBy(F.col("of").alias("id"), F.col("of_tie").alias("tie")).agg(F.collect_list(F.struct("at", "before")).alias("wanted"))
+    texts = rows.join(wanted, ["id", "tie"]).select("id", "tie", "text", "wanted")
+    contexts = texts.mapInArrow(_contexts, "of LONG, of_tie LONG, at LONG, before BOOLEAN, context BINARY")
+    completed = pieces.join(contexts, place, "left")
+    end = F.struct("of", "of_tie", "shift", "first", "last", "before", "context")
+    of_text = completed.groupBy(F.col("id").alias(id_), F.col("tie").alias(tie)).agg(F.collect_list(end).alias(ends))
+    ordered = known.join(of_text, [id_, tie], "left").select(*(F.col(f"`{name}`") for name in taken), ends)
     span = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
-    added = [T.StructField(REMOVED, T.LongType()), T.StructField(SPANS, T.ArrayType(span))]
-    schema = T.StructType([*docs.schema.fields, *added])
-    done = ordered.mapInArrow(lambda batches: _rewritten(batches, at, least), schema)
-    rest = docs.where("doc_id IS NULL").select("*", F.lit(0).cast("long"), F.array().cast(T.ArrayType(span)))
-    return done.union(rest)
+    schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.LongType()), T.StructField(found, T.ArrayType(span))])
+    return ordered.mapInArrow(lambda batches: _rewritten(batches, at, least, schema.names), schema)
