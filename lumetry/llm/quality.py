@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, span_hashes
+from .common import U64, blocks, digest, span_hashes
 
 BUCKETS = 1 << 17
 SIZES = (2, 3, 4)  # characters in an n-gram
@@ -163,8 +163,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # at most `sample` rows
+    texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "coalesce(text, '') AS text")
+    joined = texts.join(F.broadcast(chosen), "doc_id")  # `chosen` has at most `sample` rows
+    # One row for each of them, however often its doc_id is repeated: that with the text of the lowest digest.
+    first = F.min(F.struct(digest("text").alias("digest"), "text")).alias("first")
+    joined = joined.groupBy("doc_id", "label").agg(first).select("doc_id", "first.text", "label")
     counted = joined.mapInArrow(_counted, FEATURES)
     row = counted.repartition(1).mapInArrow(_trained, "shares BINARY, bias DOUBLE").first()
     return np.frombuffer(row["shares"], np.float32), row["bias"]

@@ -4,6 +4,9 @@ import itertools
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 from lumetry.llm import (
     cover_tree,
     decontamination,
@@ -81,7 +84,7 @@ def test_substrings(awkward, nothing):
     text = {r["doc_id"]: r["text"] for r in rows if r["doc_id"] not in (9, None)}
     assert len(rows) == 13 and text[1] == prose(1, 120) and text[2] == "" and text[4] is None and text[5] == ""
     assert text[3].strip() == "end" and text[7] == "short"
-    assert [r["text"] for r in rows if r["doc_id"] == 9] == [prose(4, 70)] * 2
+    assert [r["text"] for r in rows if r["doc_id"] == 9] == [prose(4, 70)] * 2  # rows that repeat id and text are one text
     assert substrings.deduplicated(nothing).count() == 0
 
 
@@ -97,6 +100,37 @@ def test_decontamination(spark, awkward, nothing):
     assert ids(decontamination.decontaminated(awkward, bench.limit(0))) == ids(awkward)
 
 
+INTERNAL = ["__id", "__digest", "__ends", "removed_words", "removed_spans", "id", "tie", "ends", "digest_", "prints", "size", "place",
+            "_id", "text_", "label", "word", "share", "bucket", "weight", "lane", "prefix", "wanted", "runs", "collapsed"]
+
+
+def test_pipeline_stages(spark, awkward, nothing, tmp_path):
+    """Every stage on rows with nulls, repeats and columns of all internal names, and on an empty table."""
+    labels = [(1, 1, 0), (2, 0, 0), (3, 1, 0), (None, 1, 0), (7, 0, 0), (8, 0, 0)]
+    spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
+    items = spark.createDataFrame([("a", prose(1, 15)), ("b", None), (None, "")], "item_id STRING, text STRING")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = awkward.withColumn("n_chars", F.length("text").cast("long")).withColumns({n: F.lit("x") for n in INTERNAL})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        some, none = (stage(spark, d, str(tmp_path)) for d in (docs, docs.limit(0)))
+        assert some.columns == none.columns == docs.columns, name
+        rows = some.collect()
+        assert none.count() == 0 and rows and not ids(some) - ids(docs), name
+        assert all(r[n] == "x" for r in rows for n in INTERNAL)
+        assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows), name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, str(tmp_path)).count() > 13 and last(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_learning_takes_one_row_for_each_label(spark):
+    """A doc_id that many texts share does not fill the one task that learns."""
+    rows = [(i, prose(i, 30)) for i in range(40)] + [(3, prose(k, 25)) for k in range(500)] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(7)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id LONG, quality INT")
+    model, other = quality.learn(docs, labels), quality.learn(docs.repartition(2), labels)
+    assert (model[0] == other[0]).all() and model[1] == other[1]
+
+
 def test_sharding(awkward, nothing):
     rows = sharding.shards(awkward, 1000).collect()
     assert Counter(r["doc_id"] for r in rows) == ids(awkward)
