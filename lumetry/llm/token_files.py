@@ -28,7 +28,7 @@ PER_RANK = 512  # bits between two entries of a rank directory
 SEGMENT_CHARS = 1 << 22  # a segment is closed when its texts reach this; a longer text is a segment of its own
 
 SEGMENTS = "part INT, segment INT, first LONG, n_tokens LONG, doc_ids ARRAY<LONG>, lengths ARRAY<LONG>, codes BINARY"
-READ = "doc_id LONG, start LONG, n_tokens LONG, ids_crc32 LONG"
+READ = "doc_id LONG, start LONG, n_tokens LONG, ids_crc32 LONG, first_id LONG, middle_id LONG"
 
 
 def encode_codes(ids: np.ndarray) -> bytes:
@@ -153,16 +153,19 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ids, lengths = Codes(row["codes"]).all().astype("<u4"), np.array(row["lengths"], np.int64)
+            codes, lengths = Codes(row["codes"]), np.array(row["lengths"], np.int64)
+            ids = codes.all().astype("<u4")
             edges = np.concatenate([[0], np.cumsum(lengths)])
             sums = [zlib.crc32(ids[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+            some = [codes[place].astype(np.int64) for place in (edges[:-1], (edges[:-1] + edges[1:]) // 2)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(row["first"] + edges[:-1], pa.int64())]
-                + [pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                + [pa.array(lengths, pa.int64()), pa.array(sums, pa.int64()), *map(pa.array, some)],
+                names=["doc_id", "start", "n_tokens", "ids_crc32", "first_id", "middle_id"],
             )
 
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of a file set, from its codes: the place of its first id, its number of ids and their CRC-32."""
+    """Per document of a file set, from its codes: the place of its first id, its number of ids and their CRC-32; and the
+    first id and the one in the middle, each looked up by itself through the ranks."""
     return segments(spark, path).select("doc_ids", "lengths", "first", "codes").mapInArrow(_digests, READ)
