@@ -82,6 +82,8 @@ class Phrases:
             word = at - text - 1
             np.add.at(cover, word, 1)
             np.add.at(cover, word + rows.shape[1], -1)
+            # A phrase counts once for a text before its items are named, however often it stands there.
+            text, phrase = np.divmod(np.unique(text * len(rows) + phrase), len(rows))
             n_items = np.diff(bounds)[phrase]
             pair = np.stack([np.repeat(text, n_items), owners[gathered(bounds[:-1][phrase], n_items)]], 1)
             pairs.append(np.unique(pair[pair[:, 1] >= 0], axis=0))
