@@ -145,7 +145,7 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("text_conv_id", "text_turn")
 
 
 @query

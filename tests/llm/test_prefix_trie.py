@@ -6,7 +6,6 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
-import pytest
 
 import __spark_entry__ as entry
 from lumetry.llm import prefix_trie
@@ -65,12 +64,11 @@ def chance_rows(seed, convs, longest):
     return rows
 
 
-@pytest.mark.parametrize("shuffled, piece", [(2, 4096), (7, 3)])
-def test_trie(spark, monkeypatch, shuffled, piece):
-    monkeypatch.setattr(prefix_trie, "PIECE", piece)
+def test_trie(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PIECE", 3)
     monkeypatch.setattr(prefix_trie, "BLOCK", 4)
-    monkeypatch.setattr(prefix_trie, "partitions", lambda df: shuffled)
-    rows = chance_rows(shuffled, 150, 9) + [(None, 1, "user", "left out"), (203, 0, None, None)]
+    monkeypatch.setattr(prefix_trie, "partitions", lambda df: 7)
+    rows = chance_rows(7, 150, 9) + [(None, 1, "user", "left out"), (203, 0, None, None)]
     # One conversation that is longer than all others, and a copy of most of it, so that some tasks read nothing else.
     rows += [(207, t, "user", f"long {t % 5} {t}") for t in range(700)] + [(208, t, "user", f"long {t % 5} {t}") for t in range(600)]
     # And one that repeats turns, with the same turn number as well.
