@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetry.llm import decontamination, near_duplicates, packing, quality, substrings
-from lumetry.llm.common import digest, importable, settled, table
+from lumetry.llm.common import digest, fresh, importable, settled, table, working_tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,35 +26,40 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels of documents that are not held out."""
+    """Documents that the quality classifier accepts; it learns from the labels of documents that are not held out. A null
+    text is scored as an empty one."""
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
     return quality.accepted(docs, model, quality.THRESHOLD)
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id. Documents without an id stay."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id. Documents without an id stay, and a
+    null text is an empty one. Of rows that repeat a doc_id and its text all stay or none."""
     importable(spark)
-    found = near_duplicates.near_duplicates(docs)
-    gone = found.where("doc_id <> group_id").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    same = (docs["doc_id"] == F.col("__id")) & (digest(F.coalesce(docs["text"], F.lit(""))) == F.col("__digest"))
+    id_, of_text = (fresh(name, docs.columns) for name in ("id", "digest"))
+    gone = near_duplicates.near_duplicates(docs).where("doc_id <> group_id")
+    gone = gone.select(F.col("doc_id").alias(id_), F.col("digest").alias(of_text))
+    same = (F.col("doc_id") == F.col(id_)) & (digest(F.coalesce(F.col("text"), F.lit(""))) == F.col(of_text))
     return docs.join(gone, same, "left_anti")
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that stand at an earlier place as well; those of which nothing is left go."""
+    """Documents without passages that stand at an earlier place as well; those of which nothing is left go. Null and empty
+    texts stay."""
     importable(spark)
     done = substrings.deduplicated(docs)
-    left = (F.col(substrings.REMOVED) == 0) | F.col("text").rlike("[0-9A-Za-z\\u0080-\\uffff]")
+    left = (F.col(f"`{done.columns[-2]}`") == 0) | F.col("text").rlike("[0-9A-Za-z\\u0080-\\uffff]")
     return _counted(done.where(left).select(*docs.columns))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words in any occurrence of a phrase of the benchmark; those of which nothing is left go."""
+    """Documents without the words in any occurrence of a phrase of the benchmark; those of which nothing is left go. Null and
+    empty texts stay."""
     return _counted(decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 1024 ids, as pieces of documents."""
+    """Sequences of 1024 ids, as pieces of documents. A null or empty text is its end id."""
     importable(spark)
     return packing.pack(docs)
 
@@ -71,8 +76,9 @@ ORACLE_SQL = None  # no SQL for the learned and the hashed stages; tests compare
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table `documents`."""
+    """All stages over the table `documents`. What a stage has written for itself goes when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        with working_tables(spark):
+            docs = settled(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
