@@ -288,6 +288,8 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["str_fan_out_landed"] = ORACLES["str_fan_out"]
+ORACLES["snk_bucketed_summary"] = ORACLES["snk_summary_table"]
+ORACLES["snk_state_read"] = ORACLES["agg_cost_1h"]
 ORACLES["str_delta_grains"] = ORACLES["agg_cost_grains"]
 ORACLES["snk_committed_batches"] = ORACLES["snk_summary_table"]
 ORACLES["src_variant_landing"] = ORACLES["prj_parse_device_float"]
@@ -297,6 +299,12 @@ ORACLES["str_late_side_output"] = f"""
     union all
     select *, 'late' as reason from ({_LATE.replace("where before is null or", "where not (before is null or").replace("group by all", ") group by all")}) l
 """
+ORACLES["agg_cost_any_float"] = """
+    select time_bucket(interval '1 hour', ts) as "timestamp", cast(user_id % 20 as integer) as "DID",
+           'SN-' || (user_id % 20) as "DSN", sum(event_id % 7 + 1)::double * power(2.0::double, -100) as total_cost
+    from events group by all
+"""
+ORACLES["snk_documents_once"] = f"select *, cast(2 as bigint) as copies from ({_device(time=_SECOND)}) d"
 ORACLES["ra_city_stream"] = f"""
     select date_time, id, case when id = '5' and (epoch(date_time)::bigint - 1704067200) // 2 % 2 = 0 then null else city end as city
     from ({METER}) m

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.errors import StreamingQueryException
 
 from lumetry.functions import (
+    ANY_COST,
     COST,
     METER_MEASURES,
     as_variants,
@@ -70,7 +71,10 @@ from lumetry.sinks import (
     compact,
     create_if_missing,
     documents,
+    folded,
     looked_up,
+    merge_bucketed,
+    nowhere,
     parquet,
     read_closing_sums,
     read_committed,
@@ -82,7 +86,7 @@ from lumetry.sinks import (
     stage_revisions,
 )
 from lumetry.sources import empty_table, landed_messages, read_json, table_of
-from lumetry.streaming import Flow, run_available
+from lumetry.streaming import Flow, cost_state, run_available
 
 from . import payloads as P
 
@@ -338,6 +342,15 @@ def agg_cost_fine(spark, sf_dir):
     return _cost(spark, sf_dir, "1 hour", "(event_id % 1000 + 1) / 10000000D")
 
 
+@registered
+def agg_cost_any_float(spark, sf_dir):
+    """Three readings per event: 2^k, its negative, and some 2^-100. The large ones cancel, whatever the order."""
+    rows = P.events(spark, sf_dir).withColumn("k", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    cost = "CASE k WHEN 0 THEN power(2D, event_id % 100) WHEN 1 THEN -power(2D, event_id % 100) ELSE (event_id % 7 + 1) * power(2D, -100) END"
+    sums = windowed_sums(device_costs(P.device(rows, cost)), "STIME", "1 hour", BY_DEVICE, [ANY_COST])
+    return shown(sums.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, ANY_COST.total().alias("total_cost")))
+
+
 @registered
 def agg_cost_grains(spark, sf_dir):
     return shown(cost_grains(device_costs(P.device(P.events(spark, sf_dir)))))
@@ -607,6 +620,54 @@ def snk_raw_documents(spark, sf_dir):
     return shown(spark.read.schema(readings.schema).json(f"{folder}/raw"))
 
 
+@registered
+def snk_documents_once(spark, sf_dir):
+    """Each message twice, as documents whose batch is lost after it was written and is run again; read by `_id`."""
+    folder = shared_folder(spark)
+    messages = P.device(P.event_stream(spark, sf_dir)).select(F.explode(F.array_repeat("value", 2)).alias("value"))
+    readings, failed = device_readings(messages, DEVICE_INT), []
+
+    def lost_once(writer):
+        def write(batch, batch_id):
+            folded(batch, batch_id).write.mode("append").json(f"{folder}/documents")
+            if not failed:
+                failed.append(batch_id)
+                raise RuntimeError("the batch was lost after its documents were written")
+
+        return writer.foreachBatch(write)
+
+    _started_again(Flow("raw_device", readings), lost_once, f"{folder}/checkpoint")
+    schema = f"{_ddl(readings)}, copies BIGINT, _id STRING"
+    stored = spark.read.schema(schema).json(f"{folder}/documents").dropDuplicates(["_id"])
+    return shown(stored.drop("_id"))
+
+
+@registered
+def snk_bucketed_summary(spark, sf_dir):
+    """A bucketed summary of the first two deliveries, into which the revisions of the third are merged."""
+    folder = shared_folder(spark)
+    landing, name = _landing(spark, folder), f"summary_{folder.rpartition('-')[2]}"
+    flow = Flow("cost_1d", cost_summary(device_costs(landed_messages(spark, landing)), "1 day", "40 days"), "update")
+    table, seen = None, -1
+    for rest in ("event_id % 3 <> 0", "event_id % 3 = 0"):
+        P.device(P.events(spark, sf_dir).where(rest)).write.mode("append").text(landing)
+        run_available({flow: revisions(f"{folder}/revisions")}, f"{folder}/checkpoint")
+        changes = read_revisions(spark, f"{folder}/revisions", COST_SUMMARY).where(F.col("batch_id") > seen)
+        table = merge_bucketed(spark, name, f"{folder}/summary", changes, DEVICE_KEYS, 8)
+        seen = table.agg(F.max("batch_id")).first()[0]
+    return shown(table.drop("batch_id", "run_id"))
+
+
+@registered
+def snk_state_read(spark, sf_dir):
+    """The accumulated table of a stream in complete mode, read from its state after two batches."""
+    folder = shared_folder(spark)
+    messages = landed_messages(spark, _delivered(spark, sf_dir, folder), maxFilesPerTrigger="2")
+    flow = Flow("cost_1h", cost_summary(device_costs(messages), "1 hour"), "complete")
+    run_available({flow: nowhere()}, f"{folder}/checkpoint")
+    return shown(cost_state(spark, f"{folder}/checkpoint", "cost_1h"))
+
+
 @registered
 def snk_parquet_append(spark, sf_dir):
     return shown(appended(spark, meter_readings(P.meter(P.event_stream(spark, sf_dir)))))

@@ -89,7 +89,7 @@ def sink_of(flow: Flow, chosen: argparse.Namespace) -> Sink:
     raw = flow.name.startswith("raw")
     if chosen.raw_connector and raw:
         key = [c for c in ("topic", "partition", "offset") if flow.frame is not None and c in flow.frame.columns]
-        return document_store(chosen.raw_connector, key, **_options(chosen.raw_option))
+        return document_store(chosen.raw_connector, key, once=not key, **_options(chosen.raw_option))
     if chosen.jdbc and not raw:
         options = {"driver": chosen.driver} if chosen.driver else {}
         return jdbc_revisions(chosen.jdbc, flow.name, **options, **_options(chosen.jdbc_option))

@@ -1,4 +1,4 @@
-from .measures import METER_MEASURES, COST, Measure
+from .measures import ANY_COST, COST, METER_MEASURES, Measure
 from .parsing import (
     device_costs,
     device_readings,
@@ -18,6 +18,7 @@ from .parsing import (
 from .variants import as_variants, variant_elements, variant_readings
 
 __all__ = [
+    "ANY_COST",
     "COST",
     "METER_MEASURES",
     "Measure",

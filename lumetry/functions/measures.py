@@ -10,6 +10,10 @@ stream, a batch and a roll-up of either agree to the last digit. A reading is ad
 
 So no reading is rounded before it is added: a decimal takes a reading only if it gives the same reading back.
 
+The order of doubles can show in the last digit of their sum. A float measure with `any_float` adds those readings as
+whole numbers, too: every float is a sum of at most two digits to the base of 2^48, one sum is kept for each of the six
+places there are, and `rest` only has what is no number. That is exact from the least float to the greatest, in any order.
+
 A measure is kept as these sums and the count `n`; unlike means, they add up across windows.
 """
 
@@ -25,6 +29,9 @@ READING = "decimal(18,6)"
 TOTAL = "decimal(28,6)"
 FINE = "decimal(24,18)"
 FINE_TOTAL = "decimal(34,18)"
+# The places of an `any_float` sum: digits to the base of 2^PLACE_BITS, of which the first counts units of 2^-UNIT_BITS.
+PLACES, PLACE_BITS, UNIT_BITS = 6, 48, 149
+DIGITS = "decimal(30,0)"
 # Keeps the integer sum of 9 * 10^11 readings in one group below the limit of a BIGINT.
 HUNDREDTHS_BELOW = 100_000
 
@@ -46,6 +53,7 @@ class Measure(NamedTuple):
     name: str
     column: str
     kind: str | None = None
+    any_float: bool = False
 
     @property
     def parts(self) -> dict[str, str]:
@@ -53,6 +61,8 @@ class Measure(NamedTuple):
         types = {"sum": "BIGINT", "n": "BIGINT"}
         if self.kind:
             types = {"hundredths": "BIGINT", "sum": TOTAL, "fine": FINE_TOTAL, "rest": "DOUBLE", "n": "BIGINT"}
+            if self.any_float:
+                types |= {f"place_{k}": DIGITS for k in range(PLACES)}
         return {f"{self.name}_{part}": kind for part, kind in types.items()}
 
     def partials(self) -> list[Column]:
@@ -73,6 +83,12 @@ class Measure(NamedTuple):
                 f"sum(CASE WHEN {fine} IS NULL THEN double({more}) END)",
                 f"count({value})",
             ]
+            if self.any_float:
+                # As the argument of a lambda, what is left of a reading is worked out once for each sum.
+                rest = f"array(CASE WHEN {fine} IS NULL THEN double({more}) END)"
+                finite = "abs(r) < double('infinity')"
+                sums[3] = f"sum(transform({rest}, r -> if({finite}, NULL, r))[0])"
+                sums += [f"sum(transform({rest}, r -> if({finite}, {_digit('r', k)}, NULL))[0])" for k in range(PLACES)]
         return [F.expr(total).alias(part) for total, part in zip(sums, self.parts, strict=True)]
 
     def merged(self) -> list[Column]:
@@ -109,7 +125,15 @@ class Measure(NamedTuple):
         return f"(try_cast(coalesce({self._coarse()}, 0) AS decimal(37,18)) + {self.name}_fine)"
 
     def _double(self) -> str:
-        return f"coalesce(double({self._fine()}), double({self._coarse()}), 0D) + {self.name}_rest"
+        decimal = f"coalesce(double({self._fine()}), double({self._coarse()}), 0D)"
+        if not self.any_float:
+            return f"{decimal} + {self.name}_rest"
+        places = [f"coalesce(double({self.name}_place_{k}), 0D) * {2.0 ** (PLACE_BITS * k - UNIT_BITS)!r}D" for k in range(PLACES)]
+        # From the greatest place down, and the decimals where they belong: whole numbers cancel before that.
+        return f"{' + '.join(reversed(places))} + {decimal} + coalesce({self.name}_rest, 0D)"
+
+    def _decimal_only(self) -> str:
+        return " AND ".join([f"{self.name}_rest IS NULL", *(f"{self.name}_place_{k} IS NULL" for k in range(PLACES * self.any_float))])
 
     def _settled(self, shape: Callable[[str], str], double: str, digits: int | None) -> str:
         """The decimal result, or the double one if a reading had to be added as a double."""
@@ -117,7 +141,18 @@ class Measure(NamedTuple):
         if digits is not None:
             coarse, fine, double = (f"round({value}, {digits})" for value in (coarse, fine, double))
         decimal = f"coalesce(double({fine}), double({coarse}))"
-        return f"CASE WHEN {self.name}_rest IS NULL THEN {decimal} ELSE {double} END"
+        return f"CASE WHEN {self._decimal_only()} THEN {decimal} ELSE {double} END"
+
+
+def _digit(value: str, place: int) -> str:
+    """SQL for one digit, with the sign, of a finite float as a double; every step is exact."""
+
+    def above(k: int) -> str:  # without the digits below the k-th; from 2^53 on a double is a whole number
+        scaled, whole = f"(abs({value}) * {2.0 ** (UNIT_BITS - PLACE_BITS * k)!r}D)", f"{2.0 ** 53!r}D"
+        return f"if({scaled} < {whole}, double(floor(least({scaled}, {whole}))), {scaled})"
+
+    higher = f" - {2.0 ** PLACE_BITS!r}D * {above(place + 1)}" if place + 1 < PLACES else ""
+    return f"cast(sign({value}) * ({above(place)}{higher}) AS decimal(20,0))"
 
 
 METER_MEASURES = (
@@ -126,3 +161,4 @@ METER_MEASURES = (
     Measure("amphere", "I (amphere)", "float"),
 )
 COST = Measure("cost", "COST", "float")
+ANY_COST = Measure("cost", "COST", "float", any_float=True)

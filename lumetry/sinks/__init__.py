@@ -1,3 +1,4 @@
+from .bucketed import merge_bucketed, merged, write_bucketed
 from .commits import Staged, committed, read_committed
 from .deltas import (
     closing_sums,
@@ -16,7 +17,9 @@ from .tables import (
     create_if_missing,
     document_store,
     documents,
+    folded,
     memory,
+    nowhere,
     parquet,
     read_revisions,
     revisions,
@@ -33,10 +36,14 @@ __all__ = [
     "delta_grains",
     "document_store",
     "documents",
+    "folded",
     "jdbc_options",
     "jdbc_revisions",
     "looked_up",
     "memory",
+    "merge_bucketed",
+    "merged",
+    "nowhere",
     "parquet",
     "read_closing_sums",
     "read_committed",
@@ -47,4 +54,5 @@ __all__ = [
     "revisions",
     "stage_grains",
     "stage_revisions",
+    "write_bucketed",
 ]

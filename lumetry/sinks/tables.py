@@ -29,6 +29,11 @@ def memory(name: str) -> Sink:
     return lambda writer: writer.format("memory").queryName(name)
 
 
+def nowhere() -> Sink:
+    """For a stream whose state is read: see `cost_state`."""
+    return lambda writer: writer.format("noop")
+
+
 def parquet(path: str, partition_by: Sequence[str] = ()) -> Sink:
     """Append rows to a Parquet table."""
     return _files("parquet", path, partition_by)
@@ -47,22 +52,37 @@ def _files(kind: str, path: str, partition_by: Sequence[str]) -> Sink:
     return setup
 
 
-def document_store(connector: str, key: Sequence[str] = (), **options: str) -> Sink:
+def document_store(connector: str, key: Sequence[str] = (), once: bool = False, **options: str) -> Sink:
     """Append rows as documents through a Spark connector, e.g. `mongodb`, which makes the collection if missing.
 
     With `key`, columns that tell messages apart (such as topic, partition and offset, which `kafka_messages` keeps on
     request), each document gets an `_id` made of them: a batch that is run again replaces its documents in a store that
-    writes by `_id`. Without, it adds them again.
+    writes by `_id`. Where messages have no such columns, `once` makes the `_id` of the document's content and its batch;
+    rows of a batch that agree in everything are then one document, and `copies` says how many there were. With neither, a
+    batch that is run again adds its documents again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if key:
             batch = batch.withColumn("_id", F.concat_ws("/", *key)).drop(*key)
+        elif once:
+            batch = folded(batch, batch_id)
         batch.write.format(connector).options(**options).mode("append").save()
 
     return lambda writer: writer.foreachBatch(write)
 
 
+def folded(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Each different row of a batch once, with an `_id` that a second run of the batch gives it again, and its `copies`.
+
+    Equal rows are folded within each task first, so a reading that makes up a third of the batch is no hot spot.
+    """
+    fields = [F.col(f"`{c}`") for c in batch.columns]
+    counted = batch.groupBy(*fields).agg(F.count(F.lit(1)).alias("copies"))
+    content = F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+    return counted.withColumn("_id", F.concat(F.lit(f"{batch_id}/"), content))
+
+
 def stage_revisions(batch: DataFrame, staged: Staged, files: int | None = None) -> None:
     rows = _by_day(batch)
     rows = rows.repartition(files) if files else rows.hint("rebalance", "day")

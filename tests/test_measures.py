@@ -1,10 +1,13 @@
 import math
+import random
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lumetry.functions import Measure
 
@@ -102,3 +105,36 @@ def test_partial_sums_add_up(spark):
 
 def test_doubles(spark):
     assert report(spark, [0.1, 0.2, 1234567.891], D, "double") == (1234568.191, 411522.73)
+
+
+def test_any_float_is_added_exactly_in_any_order(spark):
+    chance = random.Random(9)
+    powers = [*range(-44, -20), *range(14, 38)]
+    values = [float(np.float32(chance.choice([-1, 1]) * chance.random() * 10.0 ** chance.choice(powers))) for _ in range(900)]
+    values += [-v for v in values[:600]] + [1e-45, 3.4e38, -3.4e38]
+    decimals = ["0.1", "12.5", "-3.25", "0.2"]
+    measure = Measure("cost", "v", "float", any_float=True)
+    for kept in (values, [v for v in values if abs(v) < 1e-20]):
+        exact, found = sum(Fraction(float(np.float32(v))) for v in kept) + sum(map(Fraction, decimals)), set()
+        for seed in range(3):
+            rows = [*kept, *map(float, decimals)]
+            random.Random(seed).shuffle(rows)
+            frame = spark.createDataFrame([(v,) for v in rows], "v FLOAT").repartition(1 + 3 * seed)
+            found.add(frame.agg(*measure.partials()).select(measure.total()).first()[0])
+            parts = frame.withColumn("half", F.col("v") > 0).groupBy("half").agg(*measure.partials())
+            found.add(parts.agg(*measure.merged()).select(measure.total()).first()[0])
+        (total,) = found
+        assert abs(Fraction(total) - exact) <= abs(exact) * Fraction(1, 10**14)
+
+
+def test_any_float_with_what_is_no_number(spark):
+    measure = Measure("cost", "v", "float", any_float=True)
+    inf, nan = float("inf"), float("nan")
+
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v FLOAT").agg(*measure.partials()).select(measure.total()).first()[0]
+
+    assert total(1e30, inf) == inf and total(-inf, 1.0) == -inf
+    assert str(total(inf, -inf)) == str(total(nan, 1.0)) == "nan"
+    assert total(None) is None or total(None) == 0
+    assert total(1e30, -1e30, 0.1, 0.2) == pytest.approx(0.3, abs=1e-15)

@@ -8,7 +8,7 @@ from lumetry.functions import device_costs, meter_readings, with_parse_status
 from lumetry.operators import cost_grains, cost_summary, drop_resent, latest_revision, meter_summary
 from lumetry.plans import PIPELINES
 from lumetry.schemas import METER
-from lumetry.sinks import revisions
+from lumetry.sinks import merge_bucketed, merged, revisions, write_bucketed
 from lumetry.sources import landed_messages
 from lumetry.session import shared_folder
 from lumetry.streaming import start
@@ -84,3 +84,18 @@ def test_registered_summaries_shuffle_once(spark, name):
 def test_scans_read_the_needed_columns_only(spark):
     text = plan(QUERIES["agg_meter_1m"](spark, "/root/testdata/sf0.001"))
     assert "ReadSchema: struct<event_id:bigint>" in text
+
+
+def test_bucketed_summaries_merge_without_a_shuffle(spark):
+    folder, keys = shared_folder(spark), ["k", "s"]
+    name = f"merge_{folder.rpartition('-')[2]}"
+    schema = "k INT, s STRING, v DOUBLE, run_id BIGINT, batch_id BIGINT"
+    first = spark.createDataFrame([(k, "a", 1.0, 1, 0) for k in range(30)] + [(None, "a", 1.0, 1, 0)], schema)
+    second = spark.createDataFrame([(k, "a", 2.0, 1, 1) for k in range(20, 40)] + [(None, "a", 2.0, 1, 1)], schema)
+    merge_bucketed(spark, name, folder, first, keys, 4)
+    table = merge_bucketed(spark, name, folder, second, keys, 4)
+    assert {(r["k"], r["v"]) for r in table.collect()} == {(k, 1.0 if k < 20 else 2.0) for k in range(40)} | {(None, 2.0)}
+    assert table.count() == 41 == spark.table(name).count()
+    fresh = write_bucketed(second, f"{name}_other", f"{folder}/other", keys, 4)
+    for frame in (merged(spark.table(name).drop("version"), fresh, keys), table.groupBy(*keys).count()):
+        assert "Exchange" not in plan(frame)

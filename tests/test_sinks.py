@@ -10,6 +10,7 @@ from lumetry.sinks import (
     create_if_missing,
     document_store,
     documents,
+    folded,
     jdbc_options,
     jdbc_revisions,
     read_revisions,
@@ -167,3 +168,16 @@ def test_json_files_with_a_declared_schema(spark):
     spark.createDataFrame([(t,) for t in texts], "value STRING").coalesce(1).write.text(folder)
     rows = [tuple(r) for r in read_json(spark, folder, "a INT, b STRING").collect()]
     assert rows == [(1, None), (None, None), (None, "y"), (2, None), (3, None)]
+
+
+def test_documents_are_told_apart_by_content_and_batch(spark):
+    rows = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("a", None, 1), (None, 1, 1)], "s STRING, n INT, m INT")
+    first = {(r["s"], r["n"], r["m"]): (r["_id"], r["copies"]) for r in folded(rows, 3).collect()}
+    again = {(r["s"], r["n"], r["m"]): (r["_id"], r["copies"]) for r in folded(rows.repartition(5), 3).collect()}
+    assert first == again and first["a", 1, None][1] == 2 and len({i for i, _ in first.values()}) == 3
+    assert {i.split("/")[0] for i, _ in first.values()} == {"3"}
+    target = shared_folder(spark)
+    write = document_store("json", once=True, path=target)(Writer()).write
+    for _ in range(2):
+        write(rows, 0)
+    assert spark.read.json(target).select("_id").distinct().count() == 3
