@@ -1,26 +1,38 @@
 """Lexical retrieval packing: windows of tokens filled with documents that share rare words.
 
-Each task cuts its rows into shards and builds a BM25 inverted index over a shard. A window starts with a seed: the rest
-of the document that the last window cut, or else the first unused one. The index returns the seed's unused neighbours,
-best first, and they fill the window; the last is cut where the window ends. No row is shuffled.
+The weights of words, their document frequencies and the mean length, are those of all documents. Every document is then
+routed by the rarest word that it shares with another, so documents that have such a word in common meet, wherever they
+stand; a word that very many are routed by gets as many shares as it takes. Each task builds a BM25 inverted index over one
+shard after the other of the documents that it gets, a few thousand in the order of their words. A window starts with a
+seed: the rest of the document that the last window cut, or else the first unused one. The index returns the seed's unused
+neighbours, best first, and they fill the window; the last is cut where the window ends.
+
+Document frequencies are counted in BUCKETS counters, by a hash of the word: exactly, while words are few beside them, and
+beyond that a word has the frequency of all that share its counter.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import gathered, spans, words_of
+from .common import U64, blocks, gathered, mix, partitions, spans, words_of
 from .tokens import encode_with_end
 
 WINDOW = 1024
-SHARD_DOCS = 512
+SHARD_DOCS = 1 << 13
 SHARD_CHARS = 1 << 22  # a shard ends at either bound; a longer text is a shard of its own
+BUCKETS = 1 << 21  # counters of document frequencies: 8 MB, however many documents there are
+BLOCK = 1 << 20  # characters handled at a time
+RAREST = (1 << 31) - 1  # frequencies from here on are alike when a document is routed
+NO_WORD = U64(2**64 - 1)
 K1, B = 1.2, 0.75
 
 PIECES = (
@@ -28,27 +40,47 @@ PIECES = (
 )
 
 
+class Statistics(NamedTuple):
+    """Of all documents: how many there are, their mean number of words, and the document frequencies by bucket."""
+
+    n: int
+    mean: float
+    frequencies: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return self.frequencies[bucket_of(hashes)].astype(np.int64)
+
+
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> U64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
 class Index:
-    """A BM25 inverted index over a few hundred texts, of the words that at most half of them have.
+    """A BM25 inverted index over some thousand texts, of the words that at most half of all documents have.
 
     The others would weigh nothing: their inverse document frequency is not positive.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], known: Statistics):
         hashes, _, _, edges = words_of(texts)
         n, lengths = len(texts), np.diff(edges)
-        _, terms = np.unique(hashes, return_inverse=True)
-        owners = np.repeat(np.arange(n), lengths)
-        keys, tf = np.unique(terms.astype(np.int64) * n + owners, return_counts=True)
-        term, doc = keys // n, keys % n
-        df = np.bincount(term) if len(term) else np.zeros(0, np.int64)
-        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0.0)
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0))
+        # Words in the order of their hashes, and of their texts among equal ones.
+        order = np.argsort(hashes, kind="stable")
+        ordered, owners = hashes[order], np.repeat(np.arange(n), lengths)[order]
+        new_word = np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
+        new = new_word.copy()
+        new[1:] |= owners[1:] != owners[:-1]
+        at = np.flatnonzero(new)
+        tf, doc, term = np.diff(np.append(at, len(ordered))), owners[at], (np.cumsum(new_word) - 1)[at]
+        words = ordered[new_word]
+        df = np.minimum(known.of(words), known.n)
+        idf = np.maximum(np.log((known.n - df + 0.5) / (df + 0.5)), 0.0)
+        norm = K1 * (1 - B + B * lengths / max(known.mean, 1.0))
         weights = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        keep = weights > 0
+        keep = (weights > 0) & (np.bincount(term, minlength=len(words))[term] > 1)  # words of one text find no other
         self.doc, self.weights, term = doc[keep], weights[keep], term[keep]
-        self.starts = np.searchsorted(term, np.arange(len(df)))
-        self.counts = np.bincount(term, minlength=len(df))
+        self.starts = np.searchsorted(term, np.arange(len(words)))
+        self.counts = np.bincount(term, minlength=len(words))
         order = np.argsort(self.doc, kind="stable")
         self.terms, self.edges, self.n = term[order], spans(np.bincount(self.doc, minlength=n)), n
 
@@ -144,13 +176,77 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
         yield ids, texts
 
 
-def _packed(batches: Iterator[pa.RecordBatch], window: int, path: str | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, n) of this task's texts: documents that have a word of the bucket; for -1 documents, for -2 words."""
+    counts, documents, words = np.zeros(BUCKETS, np.int64), 0, 0
+    for batch in batches:
+        texts = [t or "" for t in batch.column(0).to_pylist()]
+        for part in blocks(texts, BLOCK):
+            hashes, _, _, edges = words_of(texts[part])
+            owners = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            counts += np.bincount(np.unique(owners * BUCKETS + bucket_of(hashes)) % BUCKETS, minlength=BUCKETS)
+            documents, words = documents + len(edges) - 1, words + len(hashes)
+    some = np.flatnonzero(counts)
+    columns = [np.append(some, [-1, -2]), np.append(counts[some], [documents, words])]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "n"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most BUCKETS + 2 rows (bucket, n) as one."""
+    frequencies, n, words = np.zeros(BUCKETS, np.int64), 0, 0
+    for batch in batches:
+        bucket, count = (batch.column(i).to_numpy() for i in (0, 1))
+        inside = bucket >= 0
+        frequencies[bucket[inside]] = count[inside]
+        n += int(count[bucket == -1].sum())
+        words += int(count[bucket == -2].sum())
+    held = np.minimum(frequencies, np.iinfo(np.int32).max).astype("<i4").tobytes()
+    yield pa.RecordBatch.from_pydict({"n": [n], "words": [words], "frequencies": [held]})
+
+
+def statistics(docs: DataFrame) -> Statistics:
+    """Of all documents. What comes to the driver has the size of BUCKETS counters."""
+    counted = docs.select("text").mapInArrow(_counts, "bucket LONG, n LONG").groupBy("bucket").agg(F.sum("n").alias("n"))
+    row = counted.repartition(1).mapInArrow(_gathered, "n LONG, words LONG, frequencies BINARY").first()
+    return Statistics(row["n"], row["words"] / max(row["n"], 1), np.frombuffer(row["frequencies"], "<i4"))
+
+
+def _routed(batches: Iterator[pa.RecordBatch], known: Statistics) -> Iterator[pa.RecordBatch]:
+    """The rows with their rarest shared word, and the share of that word's documents that they go to."""
+    before = 0
+    for batch in batches:
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        word, share = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        for part in blocks(texts, BLOCK):
+            hashes, _, _, edges = words_of(texts[part])
+            df = known.of(hashes)
+            # The least of these numbers is the rarest shared word of a text, and among equally rare ones the same for all.
+            keys = np.minimum(df, RAREST).astype(U64) << U64(64 - RAREST.bit_length()) | hashes >> U64(RAREST.bit_length())
+            keys[df < 2] = NO_WORD
+            least = np.minimum.reduceat(np.append(keys, NO_WORD), edges[:-1])
+            least[np.diff(edges) == 0] = NO_WORD
+            own = np.flatnonzero(least != NO_WORD)
+            at = part.start + own
+            word[at] = least[own].view(np.int64)
+            # Rows of one word are dealt out in turn, each task beginning where its number says.
+            rows = least[own] >> U64(64 - RAREST.bit_length())
+            share[at] = (before + at + TaskContext.get().partitionId() * 7919) % -(-rows.astype(np.int64) // SHARD_DOCS)
+            alone = np.setdiff1d(np.arange(part.start, part.stop), at)
+            word[alone] = mix(alone + before).view(np.int64)  # a text without a shared word goes anywhere
+        before += len(texts)
+        columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(word), pa.array(share)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "word", "share"])
+
+
+def _packed(
+    batches: Iterator[pa.RecordBatch], known: Statistics, window: int, path: str | None, with_ids: bool
+) -> Iterator[pa.RecordBatch]:
     packer = Packer(window, TaskContext.get().partitionId() << 40)
     for doc_ids, texts in _shards(batches):
         flat, counts = encode_with_end(texts, path)
         edges = spans(counts)
         docs = [(d, flat[a:b]) for d, a, b in zip(doc_ids, edges[:-1], edges[1:])]
-        packer.add(docs, Index(texts))
+        packer.add(docs, Index(texts, known))
         if (out := packer.taken(False, with_ids)) is not None:
             yield out
     packer.close()
@@ -170,4 +266,8 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, wi
     Equal scores go to the earlier row. Columns other than doc_id and text are not read.
     """
     chosen = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")
-    return chosen.mapInArrow(lambda batches: _packed(batches, window, tokenizer, with_ids), PIECES)
+    known = statistics(chosen)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    routed = chosen.mapInArrow(lambda b: _routed(b, shared.value), "doc_id LONG, text STRING, word LONG, share LONG")
+    dealt = routed.repartition(partitions(docs), "word", "share").sortWithinPartitions("word", "share", "doc_id")
+    return dealt.select("doc_id", "text").mapInArrow(lambda b: _packed(b, shared.value, window, tokenizer, with_ids), PIECES)
