@@ -208,6 +208,8 @@ def statistics(docs: DataFrame) -> Statistics:
     """Of all documents. What comes to the driver has the size of BUCKETS counters."""
     counted = docs.select("text").mapInArrow(_counts, "bucket LONG, n LONG").groupBy("bucket").agg(F.sum("n").alias("n"))
     row = counted.repartition(1).mapInArrow(_gathered, "n LONG, words LONG, frequencies BINARY").first()
+    if row is None:  # a table without rows may have no task either
+        return Statistics(0, 0.0, np.zeros(BUCKETS, np.int32))
     return Statistics(row["n"], row["words"] / max(row["n"], 1), np.frombuffer(row["frequencies"], "<i4"))
 
 
