@@ -45,6 +45,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows dealt over all tasks: a file of few row groups is read by as few, which would then make and parse all
+    messages."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def meter_fields(event_id: str = "event_id", drift: str = "0") -> str:
     current = f"{CURRENT.format(id=event_id)} + {drift}"
     return f"named_struct({METER_FIELDS.format(id=event_id, current=current, cities=CITY_NAMES)})"

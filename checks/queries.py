@@ -345,7 +345,7 @@ def agg_cost_fine(spark, sf_dir):
 @registered
 def agg_cost_any_float(spark, sf_dir):
     """Three readings per event: 2^k, its negative, and some 2^-100. The large ones cancel, whatever the order."""
-    rows = P.events(spark, sf_dir).withColumn("k", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    rows = P.spread(P.events(spark, sf_dir)).withColumn("k", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
     cost = "CASE k WHEN 0 THEN power(2D, event_id % 100) WHEN 1 THEN -power(2D, event_id % 100) ELSE (event_id % 7 + 1) * power(2D, -100) END"
     sums = windowed_sums(device_costs(P.device(rows, cost)), "STIME", "1 hour", BY_DEVICE, [ANY_COST])
     return shown(sums.select(F.col("w.start").alias("timestamp"), *BY_DEVICE, ANY_COST.total().alias("total_cost")))

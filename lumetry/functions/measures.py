@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 READING = "decimal(18,6)"
@@ -65,30 +65,43 @@ class Measure(NamedTuple):
                 types |= {f"place_{k}": DIGITS for k in range(PLACES)}
         return {f"{self.name}_{part}": kind for part, kind in types.items()}
 
-    def partials(self) -> list[Column]:
-        """Aggregates over readings."""
+    def _split(self) -> tuple[str, str, str, str]:
+        """SQL for a reading in each of the four ways, NULL in all but one: hundredths, sum, fine, rest."""
+        value = f"`{self.column}`"
+        hundredths = f"try_cast(rint(double({value}) * 100) AS bigint)"
+        short = f"(abs({value}) < {HUNDREDTHS_BELOW} AND cast({hundredths} / 100D AS {self.kind}) = {value})"
+        other = f"CASE WHEN NOT {short} THEN {value} END"
+        six = unchanged(other, self.kind)
+        more = f"CASE WHEN {six} IS NULL THEN {other} END"
+        fine = unchanged(more, self.kind, FINE)
+        return f"CASE WHEN {short} THEN {hundredths} END", six, fine, f"CASE WHEN {fine} IS NULL THEN double({more}) END"
+
+    def prepared(self, readings: DataFrame) -> tuple[DataFrame, str | None]:
+        """The readings with what is left of each one for the places of an `any_float` sum, and the column that holds it.
+
+        Give its name to `partials`: the seven sums that need it then read it, where they would work it out each.
+        """
+        if not (self.kind and self.any_float):
+            return readings, None
+        left = f"{max(readings.columns, key=len)}_left"
+        return readings.withColumn(left, F.expr(self._split()[3])), left
+
+    def partials(self, left: str | None = None) -> list[Column]:
+        """Aggregates over readings, or over those that are `prepared`."""
         value = f"`{self.column}`"
         sums = [f"sum({value})", f"count({value})"]
         if self.kind:
-            hundredths = f"try_cast(rint(double({value}) * 100) AS bigint)"
-            short = f"(abs({value}) < {HUNDREDTHS_BELOW} AND cast({hundredths} / 100D AS {self.kind}) = {value})"
-            other = f"CASE WHEN NOT {short} THEN {value} END"
-            six = unchanged(other, self.kind)
-            more = f"CASE WHEN {six} IS NULL THEN {other} END"
-            fine = unchanged(more, self.kind, FINE)
-            sums = [
-                f"sum(CASE WHEN {short} THEN {hundredths} END)",
-                f"sum({six})",
-                f"sum({fine})",
-                f"sum(CASE WHEN {fine} IS NULL THEN double({more}) END)",
-                f"count({value})",
-            ]
+            *decimals, rest = self._split()
+            sums = [*(f"sum({part})" for part in (*decimals, rest)), f"count({value})"]
             if self.any_float:
-                # As the argument of a lambda, what is left of a reading is worked out once for each sum.
-                rest = f"array(CASE WHEN {fine} IS NULL THEN double({more}) END)"
-                finite = "abs(r) < double('infinity')"
-                sums[3] = f"sum(transform({rest}, r -> if({finite}, NULL, r))[0])"
-                sums += [f"sum(transform({rest}, r -> if({finite}, {_digit('r', k)}, NULL))[0])" for k in range(PLACES)]
+                finite = "abs({r}) < double('infinity')"
+                parts = [f"if({finite}, NULL, {{r}})", *(f"if({finite}, {_digit('{r}', k)}, NULL)" for k in range(PLACES))]
+                if left:
+                    parts = [part.format(r=f"`{left}`") for part in parts]
+                else:  # as the argument of a lambda, what is left of a reading is worked out once for each sum
+                    parts = [f"transform(array({rest}), r -> {part.format(r='r')})[0]" for part in parts]
+                sums[3], *places = (f"sum({part})" for part in parts)
+                sums += places
         return [F.expr(total).alias(part) for total, part in zip(sums, self.parts, strict=True)]
 
     def merged(self) -> list[Column]:

@@ -35,7 +35,10 @@ def windowed_sums(
     timed = readings.where(F.col(time).isNotNull())
     if delay:
         timed = timed.withWatermark(time, delay)
-    aggregates = [a for m in measures for a in m.partials()]
+    aggregates = []
+    for measure in measures:
+        timed, left = measure.prepared(timed)
+        aggregates += measure.partials(left)
     return timed.groupBy(F.window(time, grain, startTime=offset).alias("w"), *keys).agg(*aggregates)
 
 

@@ -9,7 +9,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lumetry.functions import Measure
+from lumetry.functions import ANY_COST, Measure
+from lumetry.operators.summaries import windowed_sums
 
 M = Measure("m", "x", "float")
 D = Measure("m", "x", "double")
@@ -139,3 +140,15 @@ def test_any_float_with_what_is_no_number(spark):
     assert str(total(inf, -inf)) == str(total(nan, 1.0)) == "nan"
     assert total(None) is None or total(None) == 0
     assert total(1e30, -1e30, 0.1, 0.2) == pytest.approx(0.3, abs=1e-15)
+
+
+def test_what_is_left_of_a_reading_is_worked_out_once(spark):
+    values = [0.1, 12.5, -3.25, 1e30, -1e30, 2.0**-100, -(2.0**90), float("inf"), 1e-45, None]
+    for kept in (values, [v for v in values if v != float("inf")]):
+        rows = [(i % 2, v) for i, v in enumerate(kept * 3)]
+        frame = spark.createDataFrame(rows, "DID INT, COST FLOAT").selectExpr("TIMESTAMP'2024-01-01' AS STIME", "*")
+        sums = windowed_sums(frame, "STIME", "1 hour", ["DID"], [ANY_COST])
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+        assert "transform" not in plan and "lambda" not in plan
+        plain = frame.groupBy("DID").agg(*ANY_COST.partials())
+        assert sorted(sums.drop("w").collect()) == sorted(plain.select(sums.drop("w").columns).collect())
