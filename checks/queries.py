@@ -561,7 +561,7 @@ def str_landed_city(spark, sf_dir):
 def str_landed_checked(spark, sf_dir):
     """Good readings, quarantine and the good ones' cost per hour, from messages that were parsed once; rows and cost."""
     folder = shared_folder(spark)
-    for flow, sink in LANDED["landed_checked"](spark, P.device_mixed(P.event_stream(spark, sf_dir)), folder):
+    for flow, sink in LANDED["landed_checked"](spark, P.device_mixed(P.spread(P.event_stream(spark, sf_dir))), folder):
         run_available({flow: sink}, f"{folder}/checkpoint")
     good = spark.read.parquet(f"{folder}/raw_checked").select(F.lit("raw_checked").alias("flow"), F.col("COST").alias("cost"))
     bad = spark.read.parquet(f"{folder}/raw_quarantine").select("status", F.lit(None).cast("float").alias("cost"))

@@ -24,7 +24,7 @@ from ..functions.parsing import (
     position,
     timed,
 )
-from ..functions.variants import as_variants, variant_elements, variant_readings
+from ..functions.variants import as_variants, variant_readings
 from ..operators.quality import drop_resent_at_once, out_of_band_rate
 from ..operators.summaries import (
     BY_CITY,
@@ -106,7 +106,7 @@ def checked_device(messages: DataFrame) -> list[Flow]:
 
     Messages may hold arrays. Every element goes to one of the two, and an array without elements to the second.
     """
-    checked = variant_readings(variant_elements(as_variants(messages)), DEVICE_FLOAT)
+    checked = variant_readings(as_variants(messages), DEVICE_FLOAT, elements=True)
     good = timed(checked.where("status = 'ok'").drop("value", "status"), "STIME")
     return [Flow("raw_checked", good), Flow("raw_quarantine", checked.where("status <> 'ok'").select("value", "status"))]
 
@@ -179,8 +179,7 @@ def landed_checked(spark: SparkSession, messages: DataFrame, path: str) -> Flows
     """
     sent = as_variants(messages).withColumn("value", F.when(F.col("content").isNull(), F.col("value")))
     raw, landed = _landed(spark, Flow("raw_messages", sent), path)
-    known = landed.withColumn("value", F.coalesce("value", F.to_json("content")))
-    checked = variant_readings(variant_elements(known), DEVICE_FLOAT)
+    checked = variant_readings(landed, DEVICE_FLOAT, elements=True)
     good = Flow("raw_checked", timed(checked.where("status = 'ok'").drop("value", "status"), "STIME"))
     bad = Flow("raw_quarantine", checked.where("status <> 'ok'").select("value", "status"))
     good_ones, readings = _landed(spark, good, path)

@@ -1,6 +1,7 @@
 """Messages as VARIANT: what is told apart, and that each text is parsed once."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import payloads as P
 from lumetry.functions import as_variants, parse, variant_elements, variant_readings
@@ -67,3 +68,43 @@ def test_landed_messages_are_parsed_by_the_first_flow_only(spark):
     assert all("from_json" not in f.frame._jdf.queryExecution().analyzed().toString() for f in PIPELINES["checked_device"](
         P.device_mixed(P.event_stream(spark, FOLDER))
     ))
+
+
+MIXED = ['{"a":1,"s":"x"}', '[{"a":1},{"a":"?"},null]', '[{"b":{"c":2}}]', "[]", "5", "null", "not json", '[{"a":1},', "", "  ", None]
+
+
+def test_elements_are_parted_by_the_readings_too(messages):
+    sent = as_variants(messages(MIXED))
+    expected = variant_readings(variant_elements(sent), SCHEMA)
+    landed = sent.withColumn("value", F.when(F.col("content").isNull(), F.col("value")))
+    for frame in (sent, landed):
+        found = variant_readings(frame, SCHEMA, elements=True)
+        assert found.columns == expected.columns
+        key = lambda r: tuple(map(str, r))
+        assert sorted(found.collect(), key=key) == sorted(expected.collect(), key=key)
+
+
+def test_good_readings_are_not_written_as_json(messages):
+    """Neither the elements nor the messages: only what is set aside needs its text."""
+    sent = as_variants(messages(MIXED))
+    checked = variant_readings(sent, SCHEMA, elements=True)
+    good = checked.where("status = 'ok'").drop("value", "status")
+    assert "StructsToJson" not in good._jdf.queryExecution().executedPlan().toString()
+    plan = checked.where("status <> 'ok'").select("value", "status")._jdf.queryExecution().executedPlan().toString()
+    written = [i for i, line in enumerate(plan.splitlines()) if "StructsToJson" in line]
+    assert len(written) == 1 and written[0] < next(i for i, line in enumerate(plan.splitlines()) if "Filter" in line)
+
+
+def test_a_field_is_looked_up_for_the_status_only_where_it_is_missing(messages):
+    status = variant_readings(as_variants(messages(MIXED)), SCHEMA).select("status")
+    plan = status._jdf.queryExecution().executedPlan().toString()
+    (line,) = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert "$['a'], IntegerType" not in line and "$['a'], VariantType" in line
+
+
+def test_checked_messages_are_dealt_over_all_tasks(spark):
+    """A file of one row group is read by one task, which is not to make and check all messages."""
+    rows = P.spread(P.events(spark, FOLDER).coalesce(1))
+    counts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(counts) <= 2 * min(counts)
+    assert sorted(rows.collect()) == sorted(P.events(spark, FOLDER).collect())
