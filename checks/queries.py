@@ -451,7 +451,7 @@ def str_fan_out_landed(spark, sf_dir):
 def str_quarantine(spark, sf_dir):
     """Good and bad messages as two flows; one row per table."""
     folder = shared_folder(spark)
-    flows = PIPELINES["checked_device"](P.device_with_bad_messages(P.event_stream(spark, sf_dir)))
+    flows = PIPELINES["checked_device"](P.device_with_bad_messages(P.spread(P.event_stream(spark, sf_dir))))
     run_available({flow: parquet(f"{folder}/{flow.name}") for flow in flows}, f"{folder}/checkpoint")
     good, bad = (spark.read.schema(f.frame.schema).parquet(f"{folder}/{f.name}") for f in flows)
     good = good.groupBy(F.lit("ok").alias("status")).agg(F.count("*").alias("messages"))
