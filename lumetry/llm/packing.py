@@ -30,7 +30,7 @@ WINDOW = 1024
 SHARD_DOCS = 1 << 13
 SHARD_CHARS = 1 << 22  # a shard ends at either bound; a longer text is a shard of its own
 BUCKETS = 1 << 21  # counters of document frequencies: 8 MB, however many documents there are
-BLOCK = 1 << 20  # characters handled at a time
+BLOCK = 1 << 17  # characters whose words are hashed at a time: the arrays, of eight bytes for each, stay in a core's cache
 RAREST = (1 << 31) - 1  # frequencies from here on are alike when a document is routed
 NO_WORD = U64(2**64 - 1)
 K1, B = 1.2, 0.75
@@ -55,6 +55,12 @@ def bucket_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> U64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, one after the other, and each text's number of words."""
+    found = [words_of(texts[part]) for part in blocks(texts, BLOCK)]
+    return np.concatenate([hashes for hashes, *_ in found]), np.concatenate([np.diff(edges) for *_, edges in found])
+
+
 class Index:
     """A BM25 inverted index over some thousand texts, of the words that at most half of all documents have.
 
@@ -62,8 +68,8 @@ class Index:
     """
 
     def __init__(self, texts: list[str], known: Statistics):
-        hashes, _, _, edges = words_of(texts)
-        n, lengths = len(texts), np.diff(edges)
+        hashes, lengths = _words(texts)
+        n = len(texts)
         # Words in the order of their hashes, and of their texts among equal ones.
         order = np.argsort(hashes, kind="stable")
         ordered, owners = hashes[order], np.repeat(np.arange(n), lengths)[order]
@@ -183,8 +189,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t or "" for t in batch.column(0).to_pylist()]
         for part in blocks(texts, BLOCK):
             hashes, _, _, edges = words_of(texts[part])
-            owners = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            counts += np.bincount(np.unique(owners * BUCKETS + bucket_of(hashes)) % BUCKETS, minlength=BUCKETS)
+            keys = np.repeat(np.arange(len(edges) - 1), np.diff(edges)) * BUCKETS
+            keys += bucket_of(hashes)
+            keys.sort()
+            np.add.at(counts, keys[np.diff(keys, prepend=-1) != 0] % BUCKETS, 1)
             documents, words = documents + len(edges) - 1, words + len(hashes)
     some = np.flatnonzero(counts)
     columns = [np.append(some, [-1, -2]), np.append(counts[some], [documents, words])]
@@ -217,7 +225,8 @@ def _routed(batches: Iterator[pa.RecordBatch], known: Statistics) -> Iterator[pa
     """The rows with their rarest shared word, and the share of that word's documents that they go to."""
     before = 0
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
+        column = batch.column(1).fill_null("")
+        texts = column.to_pylist()
         word, share = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for part in blocks(texts, BLOCK):
             hashes, _, _, edges = words_of(texts[part])
@@ -236,7 +245,7 @@ def _routed(batches: Iterator[pa.RecordBatch], known: Statistics) -> Iterator[pa
             alone = np.setdiff1d(np.arange(part.start, part.stop), at)
             word[alone] = mix(alone + before).view(np.int64)  # a text without a shared word goes anywhere
         before += len(texts)
-        columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(word), pa.array(share)]
+        columns = [batch.column(0), column, pa.array(word), pa.array(share)]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "word", "share"])
 
 

@@ -5,8 +5,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lumetry.llm import packing
+from lumetry.llm.common import words_of
 
 from .conftest import WORDS
 
@@ -110,3 +112,32 @@ def test_a_word_of_many_documents_gets_shares(spark, monkeypatch):
     (batch,) = docs.toArrow().combine_chunks().to_batches()
     (routed,) = packing._routed(iter([batch]), known)
     assert set(Counter(routed.column(3).to_pylist()).values()) == {10} and len(set(routed.column(2).to_pylist())) == 1
+
+
+def test_words_are_hashed_a_block_at_a_time(monkeypatch):
+    """Their arrays hold some tens of bytes for each character, so a whole shard of them is much of a worker's memory."""
+    sizes = []
+
+    def counted(texts):
+        sizes.append(sum(map(len, texts)))
+        return words_of(texts)
+
+    texts = [*some_texts(1500), "", "x " * 50_000]
+    whole = words_of(texts)
+    monkeypatch.setattr(packing, "words_of", counted)
+    known = packing.Statistics(len(texts), 60.0, np.full(packing.BUCKETS, 2, np.int32))
+    index = packing.Index(texts, known)
+    assert sum(sizes) == sum(map(len, texts)) > packing.BLOCK >= max(sizes)
+    hashes, lengths = packing._words(texts)
+    assert (hashes == whole[0]).all() and (lengths == np.diff(whole[3])).all() and index.n == len(texts)
+
+
+def test_document_frequencies_count_a_text_once_for_a_word():
+    texts = [*some_texts(1500), None, "", "again again again", "again"]
+    counted = list(packing._counts(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})])))
+    found = dict(zip(counted[0].column(0).to_pylist(), counted[0].column(1).to_pylist()))
+    expected = Counter()
+    for text in texts:
+        expected.update(set(packing.bucket_of(words_of([text or ""])[0]).tolist()))
+    words = sum(len((text or "").split()) for text in texts)
+    assert found == {**expected, -1: len(texts), -2: words}
