@@ -71,13 +71,13 @@ class Index:
         hashes, lengths = _words(texts)
         n = len(texts)
         # Words in the order of their hashes, and of their texts among equal ones.
-        order = np.argsort(hashes, kind="stable")
-        ordered, owners = hashes[order], np.repeat(np.arange(n), lengths)[order]
+        order = np.argsort(hashes)
+        ordered = hashes[order]
         new_word = np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
-        new = new_word.copy()
-        new[1:] |= owners[1:] != owners[:-1]
-        at = np.flatnonzero(new)
-        tf, doc, term = np.diff(np.append(at, len(ordered))), owners[at], (np.cumsum(new_word) - 1)[at]
+        keys = (np.cumsum(new_word) - 1) * n + np.repeat(np.arange(n), lengths)[order]
+        keys.sort()
+        at = np.flatnonzero(np.diff(keys, prepend=-1))
+        tf, (term, doc) = np.diff(np.append(at, len(keys))), np.divmod(keys[at], n)
         words = ordered[new_word]
         df = np.minimum(known.of(words), known.n)
         idf = np.maximum(np.log((known.n - df + 0.5) / (df + 0.5)), 0.0)
