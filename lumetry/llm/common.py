@@ -29,19 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_working: ContextVar[list[str] | None] = ContextVar("working", default=None)
+_working: ContextVar[tuple[list[str], ...]] = ContextVar("working", default=())
 
 
 def settled(df: DataFrame, name: str = "rows", keep: bool = False) -> DataFrame:
     """`df`, written once to the shared folder and read again.
 
     Cuts the lineage: what follows reads files that outlive any executor, and never computes `df` twice. Inside
-    `working_tables` the files go when that ends, but for those to `keep`.
+    `working_tables` the files go when that ends; those to `keep` stay, or go with the `working_tables` around that.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    if not keep and (working := _working.get()) is not None:
-        working.append(path)
+    if working := _working.get()[: -1 if keep else None]:
+        working[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,7 +50,7 @@ def working_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that operators settle inside it when it ends. Write an operator's result before that: Spark reads
     those tables when the result is computed."""
     made: list[str] = []
-    token = _working.set(made)
+    token = _working.set((*_working.get(), made))
     try:
         yield
     finally:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORD_BYTE, blocks, fresh, gathered, mix, settled, span_hashes, spans
+from .common import U64, WORD_BYTE, blocks, fresh, gathered, mix, settled, span_hashes, spans, working_tables
 
 ROLL = 16  # bytes that the gear hash looks back
 MEAN_CHUNK = 32  # bytes between two cuts, on average
@@ -194,6 +194,12 @@ def repeated_pieces(rows: DataFrame, least: int) -> DataFrame:
     of, of_tie: the original's text; shift: from the piece to the original; at: the original's first byte if `before`, or
     else its last + 1. An end at the edge of the text is given only if the other one is, too.
     """
+    # The tables of chunks are of no use once the pieces are written, which are few beside them.
+    with working_tables(rows.sparkSession):
+        return settled(_pieces(rows, least), "pieces", keep=True)
+
+
+def _pieces(rows: DataFrame, least: int) -> DataFrame:
     kinds = "digest LONG, id LONG, tie LONG, place LONG"
     chunks = rows.mapInArrow(_chunks, kinds)
     # A common chunk is folded to one row in each task before the shuffle.
@@ -251,10 +257,9 @@ def repeated_pieces(rows: DataFrame, least: int) -> DataFrame:
     )
     # Where the text ends there is nothing to continue.
     within = F.when(F.col("end.before"), F.col("words_before")).otherwise(F.col("words_after")) < NO_CHUNK
-    pieces = pieces.withColumn("end", F.explode(ends)).select(
+    return pieces.withColumn("end", F.explode(ends)).select(
         "id", "tie", "first", "last", "of", "of_tie", "shift", "end.before", F.when(within, F.col("end.at")).alias("at")
     )
-    return settled(pieces, "pieces")
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch], at: int, least: int, names: list[str]) -> Iterator[pa.RecordBatch]:

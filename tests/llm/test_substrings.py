@@ -1,11 +1,13 @@
 """Repeated passages: what is removed stands earlier as one passage, and every passage of sixty words that does is removed."""
 
+import os
 import random
 
 import numpy as np
 import pytest
 
 from lumetry.llm import substrings
+from lumetry.llm.common import settled, working_tables
 
 from .conftest import CLASHING, WORDS, prose
 
@@ -134,3 +136,27 @@ def test_places_of_chunks():
         assert first + edges[owner[i]] == begin and length == end - begin
         assert words == sum(begin <= k < end and substrings.WORD_BYTE[data[k]] and not (k and substrings.WORD_BYTE[data[k - 1]]) for k in range(len(data)))
         assert (before == substrings.NO_CHUNK) == (begin in edges) and (after == substrings.NO_CHUNK) == (end in edges)
+
+
+def test_tables_of_chunks_go_before_the_texts_are_rewritten(spark, monkeypatch):
+    """Only the pieces are read then; with `working_tables` around, they go as well."""
+    made = []
+
+    def noted(df, name="rows", keep=False):
+        table = settled(df, name, keep)
+        made.append((name, table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(substrings, "settled", noted)
+    docs = spark.createDataFrame([(i, prose(i % 3, 90)) for i in range(9)], "doc_id LONG, text STRING")
+
+    def left():
+        return {name for name, files in made if any(os.path.exists(file.removeprefix("file://")) for file in files)}
+
+    assert substrings.deduplicated(docs).where("removed_words > 0").count() == 6
+    assert {name for name, _ in made} == {"shared", "copies", "originals", "pieces"} and left() == {"pieces"}
+    made.clear()
+    with working_tables(spark):
+        assert substrings.deduplicated(docs).where("removed_words > 0").count() == 6
+        assert left() == {"pieces"}
+    assert left() == set()
