@@ -18,7 +18,7 @@ from .common import blocks, gathered, settled, spans, words_of
 from .fm_index import FMIndex
 
 WINDOW = 10
-SHARD_CHARS = 1 << 21  # of the texts under one index; a longer text has its own
+SHARD_CHARS = 1 << 20  # of the texts under one index, which takes about ninety bytes for each; a longer text has its own
 PHRASE_BYTES = 1 << 24  # test texts whose phrases are sent to the tasks at a time
 
 FOUND = "doc_id LONG, n_words LONG, n_hit LONG, items ARRAY<STRING>, spans ARRAY<STRUCT<first: LONG, last: LONG>>"
