@@ -107,14 +107,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes before or after the wanted places of a text; once for rows that repeat it."""
-    seen: set[tuple[int, int]] = set()
+    """The bytes before or after the wanted places of a text."""
     for batch in batches:
         found = []
         for of, tie, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if (of, tie) in seen:
-                continue
-            seen.add((of, tie))
             data = text.encode()
             for w in wanted:
                 at = w["at"]
@@ -146,17 +142,19 @@ def repeats(data: bytes, ends: list[dict], least: int) -> list[tuple[int, int]]:
     """The spans of bytes to remove: pieces, continued as far as their original goes on alike, joined where they meet on
     the same original, cut back to whole words, and only those of at least so many words.
 
-    ends: two for each piece, with the original's text (of, of_tie) and its distance (shift), the piece's first and last + 1
-    bytes, and `before` with the bytes before the original, or not `before` with those after it.
+    ends: two for the pieces of one original, with its text (of, of_tie), first byte (origin) and length, the first bytes of
+    the pieces (firsts), and `before` with the bytes before the original, or not `before` with those after it.
     """
     pieces: dict[tuple, list[int]] = {}
     for end in ends:
-        first, last, context = end["first"], end["last"], end["context"] or b""
-        piece = pieces.setdefault((end["of"], end["of_tie"], end["shift"], first, last), [first, last])
-        if end["before"]:
-            piece[0] = first - _common(data[max(0, first - CONTEXT) : first][::-1], context[::-1])
-        else:
-            piece[1] = last + _common(data[last : last + CONTEXT], context)
+        context = end["context"] or b""
+        for first in end["firsts"]:
+            last = first + end["length"]
+            piece = pieces.setdefault((end["of"], end["of_tie"], end["origin"] - first, first, last), [first, last])
+            if end["before"]:
+                piece[0] = first - _common(data[max(0, first - CONTEXT) : first][::-1], context[::-1])
+            else:
+                piece[1] = last + _common(data[last : last + CONTEXT], context)
     found: list[list[int]] = []
     now = None
     for (*origin, _, _), (first, last) in sorted(pieces.items(), key=lambda item: (item[0][:3], item[1])):
@@ -189,10 +187,11 @@ def without(data: bytes, cuts: list[tuple[int, int]]) -> str:
 
 
 def repeated_pieces(rows: DataFrame, least: int) -> DataFrame:
-    """The ends of pieces of repeats in texts (id, tie, text): id, tie, first, last, of, of_tie, shift, before, at.
+    """The ends of pieces of repeats in texts (id, tie, text): id, tie, of, of_tie, origin, length, firsts, before, at.
 
-    of, of_tie: the original's text; shift: from the piece to the original; at: the original's first byte if `before`, or
-    else its last + 1. An end at the edge of the text is given only if the other one is, too.
+    of, of_tie, origin: the original's text and first byte; firsts: those of all pieces of the text that repeat just this
+    original, as the periods of words said over and over do; at: the original's first byte if `before`, or else its last + 1,
+    null where the pieces are at the edge of their text.
     """
     # The tables of chunks are of no use once the pieces are written, which are few beside them.
     with working_tables(rows.sparkSession):
@@ -251,17 +250,35 @@ def _pieces(rows: DataFrame, least: int) -> DataFrame:
         F.min_by("words_before", "first").alias("words_before"),
         F.max_by("words_after", "first").alias("words_after"),
     )
+    # Where the text ends there is nothing to continue. The texts are dealt out already: this shuffles nothing.
+    origin, length = F.col("first") + F.col("shift"), F.col("last") - F.col("first")
+    head = F.when(F.col("words_before") < NO_CHUNK, origin)
+    tail = F.when(F.col("words_after") < NO_CHUNK, origin + length)
+    of_original = ("id", "tie", "of", "of_tie", origin.alias("origin"), length.alias("length"), head.alias("head"), tail.alias("tail"))
+    pieces = pieces.groupBy(*of_original).agg(F.collect_list("first").alias("firsts"))
     ends = F.array(
-        F.struct(F.lit(True).alias("before"), (F.col("first") + F.col("shift")).alias("at")),
-        F.struct(F.lit(False).alias("before"), (F.col("last") + F.col("shift")).alias("at")),
+        F.struct(F.lit(True).alias("before"), F.col("head").alias("at")),
+        F.struct(F.lit(False).alias("before"), F.col("tail").alias("at")),
     )
-    # Where the text ends there is nothing to continue.
-    within = F.when(F.col("end.before"), F.col("words_before")).otherwise(F.col("words_after")) < NO_CHUNK
     return pieces.withColumn("end", F.explode(ends)).select(
-        "id", "tie", "first", "last", "of", "of_tie", "shift", "end.before", F.when(within, F.col("end.at")).alias("at")
+        "id", "tie", "of", "of_tie", "origin", "length", "firsts", "end.before", "end.at"
     )
 
 
+def _completed(rows: DataFrame, pieces: DataFrame, repeated: bool) -> DataFrame:
+    """The ends with the bytes before or after their originals (context). repeated: rows may repeat both id and tie."""
+    # The bytes at each place are looked up once, however many repeat it. This join and the one with the texts to rewrite deal
+    # the texts out alike, so Spark shuffles them once.
+    place = ["of", "of_tie", "at", "before"]
+    wanted = pieces.where("at IS NOT NULL").select(*place).distinct()
+    wanted = wanted.groupBy(F.col("of").alias("id"), F.col("of_tie").alias("tie")).agg(F.collect_list(F.struct("at", "before")).alias("wanted"))
+    texts = rows.join(wanted, ["id", "tie"]).select("id", "tie", "text", "wanted")
+    if repeated:
+        texts = texts.dropDuplicates(["id", "tie"])  # however many rows repeat an original, each end meets it once
+    contexts = texts.mapInArrow(_contexts, "of LONG, of_tie LONG, at LONG, before BOOLEAN, context BINARY")
+    return pieces.join(contexts, place, "left")
+
+
 def _rewritten(batches: Iterator[pa.RecordBatch], at: int, least: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Texts without their repeats; the last two columns are the number of removed words and the spans."""
     for batch in batches:
@@ -301,15 +318,8 @@ def deduplicated(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     known = known.withColumn(tie, F.xxhash64("text") if repeated else F.lit(0).cast("long"))
     rows = known.where(F.col("text") != "").select(F.col(id_).alias("id"), F.col(tie).alias("tie"), F.col("text").alias("text"))
     pieces = repeated_pieces(rows, least)
-    # The bytes at each place are looked up once, however many repeat it. Both joins deal the texts out alike, so Spark
-    # shuffles them once.
-    place = ["of", "of_tie", "at", "before"]
-    wanted = pieces.where("at IS NOT NULL").select(*place).distinct()
-    wanted = wanted.groupBy(F.col("of").alias("id"), F.col("of_tie").alias("tie")).agg(F.collect_list(F.struct("at", "before")).alias("wanted"))
-    texts = rows.join(wanted, ["id", "tie"]).select("id", "tie", "text", "wanted")
-    contexts = texts.mapInArrow(_contexts, "of LONG, of_tie LONG, at LONG, before BOOLEAN, context BINARY")
-    completed = pieces.join(contexts, place, "left")
-    end = F.struct("of", "of_tie", "shift", "first", "last", "before", "context")
+    completed = _completed(rows, pieces, bool(repeated))
+    end = F.struct("of", "of_tie", "origin", "length", "firsts", "before", "context")
     of_text = completed.groupBy(F.col("id").alias(id_), F.col("tie").alias(tie)).agg(F.collect_list(end).alias(ends))
     ordered = known.join(of_text, [id_, tie], "left").select(*(F.col(f"`{name}`") for name in taken), ends)
     span = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from lumetry.llm import substrings
-from lumetry.llm.common import settled, working_tables
+from lumetry.llm.common import importable, settled, working_tables
 
 from .conftest import CLASHING, WORDS, prose
 
@@ -138,6 +138,39 @@ def test_places_of_chunks():
         assert (before == substrings.NO_CHUNK) == (begin in edges) and (after == substrings.NO_CHUNK) == (end in edges)
 
 
+@pytest.mark.parametrize("times", [150, 300])
+def test_words_said_over_and_over_make_few_ends(spark, times):
+    """Each period of this pair is a chunk and a piece of its own; those of one text that repeat one original share its ends,
+    so there are as many ends however often the pair is said, and no piece is lost."""
+    importable(spark)
+    pair = "lamp letter. "
+    texts = [prose(i, 40) + "\n" + pair * times + "\n" + prose(50 + i, 40) for i in range(6)]
+    rows = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "id LONG, tie LONG, text STRING").repartition(3)
+    found = substrings.repeated_pieces(rows, 50).collect()
+    assert len(found) <= 10 * len(texts)
+    for i, text in enumerate(texts):
+        firsts = [f for r in found if r["id"] == i and r["before"] for f in r["firsts"]]
+        assert len(firsts) == len(set(firsts)) >= times - 30
+        data = text.encode()
+        for r in found:
+            if r["id"] == i:
+                original = texts[r["of"]].encode()[r["origin"] : r["origin"] + r["length"]]
+                assert {data[f : f + r["length"]] for f in r["firsts"]} == {original}
+
+
+def test_each_end_meets_its_original_once(spark):
+    """Rows that repeat an original in several partitions give its context once."""
+    importable(spark)
+    passage = prose(3, 90)
+    texts = [(1, 5, "one. " + passage + " one")] * 12 + [(i, 0, f"{i}. " + passage + f" {i}") for i in range(2, 8)]
+    rows = spark.createDataFrame(texts, "id LONG, tie LONG, text STRING").repartition(6)
+    pieces = substrings.repeated_pieces(rows, 50)
+    ends = pieces.count()
+    completed = substrings._completed(rows, pieces, True).collect()
+    assert ends > 0 and len(completed) == ends
+    assert all((r["context"] is None) == (r["at"] is None) for r in completed)
+
+
 def test_tables_of_chunks_go_before_the_texts_are_rewritten(spark, monkeypatch):
     """Only the pieces are read then; with `working_tables` around, they go as well."""
     made = []
