@@ -32,16 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _working: ContextVar[tuple[list[str], ...]] = ContextVar("working", default=())
 
 
-def settled(df: DataFrame, name: str = "rows", keep: bool = False) -> DataFrame:
+def settled(df: DataFrame, name: str = "rows", keep: bool = False, by: str | None = None) -> DataFrame:
     """`df`, written once to the shared folder and read again.
 
     Cuts the lineage: what follows reads files that outlive any executor, and never computes `df` twice. Inside
     `working_tables` the files go when that ends; those to `keep` stay, or go with the `working_tables` around that.
+    by: a column with a folder for each of its values, so that those not asked for are not read.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    if working := _working.get()[: -1 if keep else None]:
-        working[-1].append(path)
+    return settled_rounds([df], name, keep, by)
+
+
+def settled_rounds(rounds: Iterable[DataFrame], name: str = "rows", keep: bool = False, by: str | None = None) -> DataFrame:
+    """Like `settled`, of tables of one schema that are written one after the other; at least one."""
+    path = ""
+    for df in rounds:
+        if not path:
+            path = f"{shared_folder(df.sparkSession)}/{name}"
+            if working := _working.get()[: -1 if keep else None]:
+                working[-1].append(path)
+        (df.write.partitionBy(by) if by else df.write).mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
